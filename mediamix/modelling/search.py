@@ -22,7 +22,7 @@ TRIALS = 5
 BOUNDS = {"theta": (0.0, 0.8), "alpha": (0.5, 3.0), "gamma": (0.3, 1.0)}
 
 # Candidates that share one shuffled copy of their segment's series.
-BLOCK = 250
+BLOCK = 50
 
 
 @dataclass(frozen=True)
@@ -91,13 +91,26 @@ def candidate_grid(
 
 
 def adstock(series: Column, theta: Column) -> Column:
-    """Geometric carryover a[t] = x[t] + theta * a[t-1] over an array in date order."""
-    empty = F.array().cast("array<double>")
-    return F.aggregate(
-        series,
-        empty,
-        lambda done, x: F.concat(done, F.array(x + theta * F.coalesce(F.try_element_at(done, F.lit(-1)), F.lit(0.0)))),
-    )
+    """Geometric carryover a[t] = x[t] + theta * a[t-1] over an array in date order.
+
+    Computed by doubling: a round adds the value 1, 2, 4, ... places back, weighted by
+    theta to that power, so the array is rebuilt log2(length) times and not once per
+    entry.
+    """
+    rounds = F.greatest(F.ceil(F.log2(F.size(series).cast("double"))).cast("int"), F.lit(1))
+
+    def add_shifted(state: Column, shift: Column) -> Column:
+        reach = F.pow(F.lit(2.0), shift).cast("int")
+        return F.struct(
+            F.transform(
+                state["carried"],
+                lambda v, i: v + state["weight"] * F.coalesce(F.get(state["carried"], i - reach), F.lit(0.0)),
+            ).alias("carried"),
+            (state["weight"] * state["weight"]).alias("weight"),
+        )
+
+    start = F.struct(series.alias("carried"), theta.cast("double").alias("weight"))
+    return F.aggregate(F.sequence(F.lit(0), rounds - 1), start, add_shifted, lambda state: state["carried"])
 
 
 def adstock_long(media: DataFrame, grid: DataFrame) -> DataFrame:
@@ -191,8 +204,10 @@ def all_candidates(panel: DataFrame, spec: ModelSpec, trials: int, iterations: i
     blocks = series.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit((total - 1) // BLOCK))))
     first = F.col("block") * BLOCK
     last = F.least(first + BLOCK - 1, F.lit(total - 1))
+    # an explicit number keeps AQE from merging the few wide rows into one task
+    tasks = int(panel.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
-        blocks.repartition("segment", "block")
+        blocks.repartition(tasks, "segment", "block")
         .withColumn("candidate", F.explode(F.sequence(first, last)))
         .drop("block")
     )
@@ -221,26 +236,26 @@ def candidate_moments(rows: DataFrame, spec: ModelSpec) -> DataFrame:
     )
 
 
-def _bounded_ridge(gram: np.ndarray, target: np.ndarray, low: np.ndarray, high: np.ndarray, ridge: float) -> np.ndarray:
-    """Coordinate descent for many small ridge problems at once, coefficients in [low, high]."""
-    beta = np.zeros_like(target)
-    for _ in range(500):
-        before = beta.copy()
-        for j in range(target.shape[1]):
-            rest = target[:, j] - np.einsum("bk,bk->b", gram[:, j, :], beta) + gram[:, j, j] * beta[:, j]
-            beta[:, j] = np.clip(rest / (gram[:, j, j] + ridge), low[j], high[j])
-        if np.abs(beta - before).max(initial=0.0) < 1e-10:
-            break
-    return beta
-
-
 def _solver(spec: ModelSpec, ridge: float):
+    # helpers are local so that workers need numpy and pandas but not this package
     signs = ["positive"] * len(spec.media) + [s for _, s in spec.context]
     low = np.array([0.0 if s == "positive" else -np.inf for s in signs])
     high = np.array([0.0 if s == "negative" else np.inf for s in signs])
     k = len(signs)
     upper = np.triu_indices(k)
 
+    def bounded_ridge(gram: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """Coordinate descent for many small ridge problems at once, within the bounds."""
+        beta = np.zeros_like(target)
+        for _ in range(500):
+            before = beta.copy()
+            for j in range(target.shape[1]):
+                rest = target[:, j] - np.einsum("bk,bk->b", gram[:, j, :], beta) + gram[:, j, j] * beta[:, j]
+                beta[:, j] = np.clip(rest / (gram[:, j, j] + ridge), low[j], high[j])
+            if np.abs(beta - before).max(initial=0.0) < 1e-10:
+                break
+        return beta
+
     @F.pandas_udf("coef array<double>, intercept double, rss double, tss double")
     def solve(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
         for n, sum_y, sum_yy, sum_x, sum_xy, sum_xx in batches:
@@ -255,8 +270,8 @@ def _solver(spec: ModelSpec, ridge: float):
             std = np.sqrt(np.maximum(np.einsum("bkk->bk", cov), 0.0))
             scale = np.where(std > 1e-12 * (1 + np.abs(x_mean)), std, np.inf)
             std_y = np.sqrt(np.where(var_y > 0, var_y, 1.0))
-            beta = _bounded_ridge(
-                cov / (scale[:, :, None] * scale[:, None, :]), cross / (scale * std_y[:, None]), low, high, ridge
+            beta = bounded_ridge(
+                cov / (scale[:, :, None] * scale[:, None, :]), cross / (scale * std_y[:, None])
             )
             coef = beta * std_y[:, None] / scale
             rss = var_y - 2 * (coef * cross).sum(1) + np.einsum("bj,bjk,bk->b", coef, cov, coef)

@@ -24,21 +24,22 @@ RATIOS = [
 def clean_name(name: Column, channel: Column) -> Column:
     """Metric name without its channel as a prefix, suffix or inner part.
 
-    The channel is looked for as written, with underscores, with spaces and with
-    neither, the longest spelling first.  Metric names hold no regex characters that
-    matter here because the channel is compared as plain text.
+    The channel is looked for, as plain text, with underscores, with spaces, as written
+    and run together, the longest spellings first.
     """
     spelled = F.lower(F.trim(channel))
-    forms = [F.replace(spelled, F.lit(" "), F.lit("_")), F.replace(spelled, F.lit("_"), F.lit(" ")), spelled]
-    forms.append(F.replace(spelled, F.lit(" "), F.lit("")))
+    forms = [
+        F.replace(spelled, F.lit(" "), F.lit("_")),
+        F.replace(spelled, F.lit("_"), F.lit(" ")),
+        spelled,
+        F.replace(spelled, F.lit(" "), F.lit("")),
+    ]
 
     def strip(text: Column, token: Column) -> Column:
-        before, after = F.concat(token, F.lit("_")), F.concat(F.lit("_"), token)
-        text = F.when(F.startswith(text, before), F.substring(text, F.length(before) + 1, F.length(text))).otherwise(text)
-        text = F.when(
-            F.endswith(text, after), F.substring(text, F.lit(1), F.length(text) - F.length(after))
-        ).otherwise(text)
-        return F.replace(text, F.concat(after, F.lit("_")), F.lit("_"))
+        quoted = F.concat(F.lit("\\Q"), token, F.lit("\\E"))
+        text = F.regexp_replace(text, F.concat(F.lit("^"), quoted, F.lit("_")), F.lit(""))
+        text = F.regexp_replace(text, F.concat(F.lit("_"), quoted, F.lit("$")), F.lit(""))
+        return F.regexp_replace(text, F.concat(F.lit("_"), quoted, F.lit("_")), F.lit("_"))
 
     bare = reduce(strip, forms, F.lower(name))
     return F.trim(F.regexp_replace(bare, "_+", "_"), F.lit("_"))

@@ -61,11 +61,11 @@ def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def monthly_cpi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(month, cpi): mean order value; one row per calendar month."""
+    """(month, cpi): mean order value in whole units; one row per calendar month."""
     return (
         table(spark, sf_dir, "orders")
         .groupBy(F.trunc("o_orderdate", "month").alias("month"))
-        .agg((F.sum(money("o_totalprice")).cast("double") / F.count("*")).alias("cpi"))
+        .agg(F.floor(F.sum(money("o_totalprice")).cast("double") / F.count("*")).cast("double").alias("cpi"))
     )
 
 
