@@ -100,9 +100,15 @@ def funnel_ratios(catalog: DataFrame) -> DataFrame:
 
 
 def derived_metrics(ratios: DataFrame) -> DataFrame:
-    """Catalogue rows of the ratios, to append with ``extend_catalog``."""
+    """Catalogue rows of the ratios, to append with ``extend_catalog``.
+
+    Their position, a decimal, puts them behind all original rows (whose positions are
+    longs) in the order of numerator and denominator.
+    """
+    behind = F.lit("10000000000000000000").cast("decimal(20,0)")
+    place = behind * (F.col("num_pos") + 1).cast("decimal(17,0)") + F.col("den_pos").cast("decimal(19,0)")
     return ratios.select(
-        F.col("num_pos").alias("pos"),
+        place.cast("decimal(38,0)").alias("pos"),
         "field_name",
         "channel",
         F.concat_ws("/", "numerator", "denominator").alias("derived_from"),

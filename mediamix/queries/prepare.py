@@ -23,6 +23,7 @@ from mediamix.queries.sqltext import (
     RESPONSES,
     SALES,
     SPENDS,
+    TIE_SHIFT,
     UP,
     WINSORIZED,
     W_ALL,
@@ -43,8 +44,9 @@ ROWS = Grain(("segment",), "date", unique=False)
 
 
 def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
+    """Doubles rounded for comparison, shifted off exact ties as in ``rounded_sql``."""
     doubles = [c for c, kind in df.dtypes if kind == "double"]
-    return df.withColumns({c: F.round(c, digits) for c in doubles}) if doubles else df
+    return df.withColumns({c: F.round(F.col(c) + TIE_SHIFT, digits) for c in doubles}) if doubles else df
 
 
 def plan(spark: SparkSession) -> Catalog:
@@ -122,7 +124,7 @@ def guarded(spark: SparkSession, d: str) -> DataFrame:
     plan_ = plan(spark)
     days = continuous(spark, d)
     responses = {s: [r for _, s2, r in checks.spend_response_pairs(plan_) if s2 == s] for s in SPENDS}
-    return days.select(*KEYS, *[F.round(impute.guarded_spend(s, responses[s]), 4).alias(s) for s in SPENDS])
+    return days.select(*KEYS, *[F.round(impute.guarded_spend(s, responses[s]) + TIE_SHIFT, 4).alias(s) for s in SPENDS])
 
 
 def aggregated(spark: SparkSession, d: str, fields: list[str]) -> DataFrame:

@@ -4,6 +4,10 @@ from __future__ import annotations
 
 from mediamix.sources.star import CHANNELS, MEASURES
 
+# Added before rounding: sums may differ in the last bit between engines, and an exact
+# tie would then round to different sides.
+TIE_SHIFT = 1e-7
+
 PREFIXES = [ch for _, _, ch in CHANNELS]
 SPENDS = [f"{ch}_spend" for ch in PREFIXES]
 IMPRESSIONS = [f"{ch}_impressions" for ch in PREFIXES]
@@ -250,4 +254,4 @@ def sql(body: str, *names: str) -> str:
 
 def rounded_sql(text: str, columns: list[str], digits: int = 4) -> str:
     """Wrap a query so that the named doubles are rounded."""
-    return f"SELECT * REPLACE ({', '.join(f'ROUND({c}, {digits}) AS {c}' for c in columns)}) FROM ({text})"
+    return f"SELECT * REPLACE ({', '.join(f'ROUND({c} + {TIE_SHIFT}, {digits}) AS {c}' for c in columns)}) FROM ({text})"
