@@ -53,6 +53,14 @@ class Grain:
             .rowsBetween(Window.unboundedPreceding, Window.currentRow)
         )
 
+    def whole(self) -> WindowSpec:
+        """All rows of the segment, ordered like the other windows so that they share a sort."""
+        return (
+            Window.partitionBy(*self.keys)
+            .orderBy(self.date)
+            .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        )
+
     def trailing(self, rows: int) -> WindowSpec:
         return (
             Window.partitionBy(*self.keys).orderBy(self.date).rowsBetween(-(rows - 1), Window.currentRow)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mediamix.functions.frequency import Frequency, parse_frequency, parse_mixed_date, truncate
@@ -43,12 +43,6 @@ def convert_grain(
     return parsed.withColumn(date, truncate(F.col(date), target, week_label))
 
 
-def _known_dates(df: DataFrame, grain: Grain) -> DataFrame:
-    """Distinct (keys, date) with the segment's first date as ``__first``."""
-    dates = df.filter(F.col(grain.date).isNotNull()).select(*grain.columns).distinct()
-    return dates.withColumn("__first", F.min(grain.date).over(Window.partitionBy(*grain.keys)))
-
-
 def _on_grid(grain: Grain, frequency: Frequency):
     date, first = F.col(grain.date), F.col("__first")
     if frequency is Frequency.DAY:
@@ -77,22 +71,60 @@ def date_gaps(df: DataFrame, grain: Grain, frequency: str | Frequency) -> DataFr
     Only distinct (keys, date) pairs are shuffled, at most one per calendar day and
     segment.
     """
-    frequency = parse_frequency(frequency)
-    on_grid = _known_dates(df, grain).filter(_on_grid(grain, frequency)).drop("__first")
-    spine = date_spine(df, grain, frequency)
-    return join_on(spine, on_grid, grain.columns, "left_anti")
+    dates = df.select(*grain.columns).filter(F.col(grain.date).isNotNull()).distinct()
+    return _filled(dates, grain, parse_frequency(frequency)).filter(F.col("__place") > 0).drop("__place")
+
+
+def _filled(dated: DataFrame, grain: Grain, frequency: Frequency) -> DataFrame:
+    """Rows unique on (keys, date) followed by the periods missing after them.
+
+    Each row looks at the next date of its segment and unfolds into itself, with
+    ``__place`` 0, and one row per period in between.  Rows off the step grid drop out.
+    """
+    date, first = F.col(grain.date), F.col("__first")
+    if frequency is not Frequency.DAY:
+        dated = dated.withColumn("__first", F.min(grain.date).over(grain.whole())).filter(_on_grid(grain, frequency))
+    following = F.lead(grain.date).over(grain.positions())
+    if frequency in (Frequency.DAY, Frequency.WEEK):
+        step = 1 if frequency is Frequency.DAY else 7
+        distance = F.datediff("__following", date) / step
+        moved = F.date_add(date, F.col("__place") * step)
+    else:
+        step = 1 if frequency is Frequency.MONTH else 3
+
+        def months(later, earlier):
+            return (F.year(later) - F.year(earlier)) * 12 + F.month(later) - F.month(earlier)
+
+        distance = months(F.col("__following"), date) / step
+        moved = F.add_months(first, months(date, first) + F.col("__place") * step)
+    places = F.sequence(F.lit(0), F.coalesce(distance.cast("int") - 1, F.lit(0)))
+    values = [c for c in dated.columns if c not in (*grain.columns, "__first")]
+    return (
+        dated.withColumn("__following", following)
+        .withColumn("__place", F.explode(places))
+        .select(
+            *grain.keys,
+            moved.alias(grain.date),
+            *[F.when(F.col("__place") == 0, F.col(c)).alias(c) for c in values],
+            "__place",
+        )
+    )
 
 
 def fill_calendar(df: DataFrame, grain: Grain, frequency: str | Frequency) -> DataFrame:
     """Continuous calendar per segment: gaps become rows with null values.
 
     Rows off the segment's step grid and rows without a date drop out, duplicates stay.
-    The rows themselves are not joined to the spine: they are all on the daily grid, and
-    on a coarser one a join with the segment's first date tells.  Gap rows are added by
-    union, so a segment or day with very many rows is never shuffled as a group.
+    With a unique grain this is one pass: a window and an explode, partitioned like the
+    fills that follow.  Otherwise the rows stay where they are (all are on the daily
+    grid, and on a coarser one a join with the segment's first date tells) and the gaps,
+    found on the distinct dates, are added by union, so a segment or day with very many
+    rows is never shuffled as a group.
     """
     frequency = parse_frequency(frequency)
     facts = df.filter(F.col(grain.date).isNotNull())
+    if grain.unique:
+        return _filled(facts, grain, frequency).select(*df.columns)
     if frequency is not Frequency.DAY:
         first = facts.groupBy(*grain.keys).agg(F.min(grain.date).alias("__first"))
         facts = join_on(facts, first, grain.keys).filter(_on_grid(grain, frequency)).drop("__first")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from mediamix.catalog import Catalog
 from mediamix.functions.scalars import clip
 from mediamix.grain import Grain, join_on, tidy
-from mediamix.operators.quantiles import quantile_column, segment_quantiles
+from mediamix.operators.quantiles import ACCURACY, quantile_column, segment_quantiles
 from mediamix.operators.series import fill_series, trailing_mean
 
 # Fixed values.
@@ -25,8 +25,28 @@ PROBABILITIES = (WINSOR[0], *QUARTILES, WINSOR[1])
 
 
 def with_bounds(df: DataFrame, grain: Grain, quantile_columns: Sequence[str], moment_columns: Sequence[str] = ()) -> DataFrame:
-    """Attach the segment's quantiles and moments to its rows: one aggregate, one join."""
+    """Attach the segment's quantiles and moments to its rows.
+
+    With a unique grain a segment is as long as the calendar, and one window, on the
+    partitioning the fills need anyway, avoids computing the input twice.  Otherwise: one
+    aggregate and one join.
+    """
     keys = list(grain.keys)
+    if grain.unique:
+        segment = grain.whole()
+        arrays = {
+            f"__all_{c}": F.percentile_approx(c, list(PROBABILITIES), ACCURACY).over(segment) for c in quantile_columns
+        }
+        spread = {
+            name: value.over(segment)
+            for c in moment_columns
+            for name, value in ((f"__mean_{c}", F.avg(c)), (f"__std_{c}", F.stddev_samp(c)))
+        }
+        picked = {
+            quantile_column(c, i): F.col(f"__all_{c}")[i] for c in quantile_columns for i in range(len(PROBABILITIES))
+        }
+        wide = df.withColumns({**arrays, **spread})
+        return wide.withColumns(picked).drop(*arrays) if picked else wide
     moments = [
         c
         for name in moment_columns

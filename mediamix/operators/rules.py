@@ -119,39 +119,44 @@ def weight_family() -> Column:
     )
 
 
-def channel_weights(catalog: DataFrame) -> DataFrame:
-    """(channel, weight): best absolute column to weight the channel's rates with.
+def _first_by(field: Column, eligible: Column, *order: Column) -> Column:
+    """Field of the first eligible row in the given order; null if there is none."""
+    return F.min_by(field, F.when(eligible, F.struct(*order)))
 
-    A top-1 per channel, so a ``min_by`` aggregate with map-side combine rather than a
-    window over the channel.
-    """
-    return (
-        catalog.filter((F.col("data_type") == "absolute") & F.col("channel").isNotNull())
-        .withColumn("family", weight_family())
-        .filter("family IS NOT NULL")
-        .groupBy("channel")
-        .agg(F.min_by("field_name", F.struct("family", "pos")).alias("weight"))
+
+def _weight() -> Column:
+    eligible = (F.col("data_type") == "absolute") & weight_family().isNotNull()
+    return _first_by(F.col("field_name"), eligible, weight_family().alias("family"), F.col("pos"))
+
+
+def _primary_exposure() -> Column:
+    preference = ladder(
+        [(F.col("field_name").contains(word), i) for i, word in enumerate(PRIMARY_EXPOSURE)],
+        len(PRIMARY_EXPOSURE),
     )
+    eligible = (F.col("data_type") == "absolute") & (funnel_role() == "exposure")
+    return _first_by(F.col("field_name"), eligible, preference.alias("preference"), F.col("pos"))
+
+
+def _per_channel(catalog: DataFrame, **picks: Column) -> DataFrame:
+    """Top-1 picks per channel, as aggregates with map-side combine, not windows."""
+    named = [value.alias(name) for name, value in picks.items()]
+    return catalog.filter(F.col("channel").isNotNull()).groupBy("channel").agg(*named)
 
 
 def resolve_weights(catalog: DataFrame) -> DataFrame:
-    """(field_name, channel, weight) for every response rate; null weight = plain mean."""
+    """(field_name, channel, weight) for every response rate; null weight = plain mean.
+
+    The weight is the channel's absolute column of the most preferred family.
+    """
     rates = catalog.filter((F.col("data_category") == "response") & F.col("data_type").isin(RATE_TYPES))
-    return rates.join(channel_weights(catalog), "channel", "left").select("field_name", "channel", "weight")
+    weights = _per_channel(catalog, weight=_weight())
+    return rates.join(weights, "channel", "left").select("field_name", "channel", "weight")
 
 
 def primary_exposures(catalog: DataFrame) -> DataFrame:
     """(channel, primary_exposure): the one exposure column ratios divide by."""
-    preference = ladder(
-        [(F.col("field_name").contains(word), i) for i, word in enumerate(PRIMARY_EXPOSURE)],
-        len(PRIMARY_EXPOSURE),
-    )
-    return (
-        catalog.filter(F.col("channel").isNotNull() & (F.col("data_type") == "absolute"))
-        .filter(funnel_role() == "exposure")
-        .groupBy("channel")
-        .agg(F.min_by("field_name", F.struct(preference.alias("preference"), "pos")).alias("primary_exposure"))
-    )
+    return _per_channel(catalog, primary_exposure=_primary_exposure()).filter("primary_exposure IS NOT NULL")
 
 
 def annotate(catalog: DataFrame) -> DataFrame:
@@ -159,8 +164,7 @@ def annotate(catalog: DataFrame) -> DataFrame:
     if "is_derived" not in catalog.columns:
         catalog = catalog.withColumn("is_derived", F.lit(False))
     return (
-        catalog.join(channel_weights(catalog), "channel", "left")
-        .join(primary_exposures(catalog), "channel", "left")
+        catalog.join(_per_channel(catalog, weight=_weight(), primary_exposure=_primary_exposure()), "channel", "left")
         .select(
             "pos",
             "field_name",
@@ -185,7 +189,7 @@ def plan_catalog(catalog: DataFrame, columns: list[str]) -> Catalog:
     One small job: at most one row per column of the table reaches the driver.
     """
     present = catalog.filter(F.col("field_name").isin(columns))
-    rows = annotate(present).orderBy("pos").collect()
+    rows = sorted(annotate(present).collect(), key=lambda r: r["pos"])
     return Catalog(
         tuple(
             Metric(

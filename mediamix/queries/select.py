@@ -249,7 +249,7 @@ S["candidate_registry"] = (
     f"UNION ALL SELECT 'global_control', NULL, CAST(pos+1 AS INTEGER), field_name, NULL FROM ({CONTROLS_SQL})"
 )
 Q["registry_document"] = lambda s, d: signals.nested_registry(registry(s, d)).select(F.to_json(F.struct("*")).alias("document"))
-Q["exposure_correlation"] = lambda s, d: correlations(s, d).withColumn("corr", F.round("corr", 4))
+Q["exposure_correlation"] = lambda s, d: rounded(correlations(s, d))
 S["exposure_correlation"] = rounded_sql(CORR_SQL, ["corr"])
 Q["best_exposure"] = lambda s, d: conform.best_exposures(correlations(s, d))
 S["best_exposure"] = BEST_SQL
