@@ -90,6 +90,23 @@ def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
     return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"__right_{k}" for k in keys])
 
 
+# Largest table to send to every executor.
+BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+def join_measured(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], row_bytes: int, how: str = "inner"
+) -> DataFrame:
+    """``join_on`` for a large ``left`` and a ``right`` that is already written out.
+
+    The rows of ``right`` are counted: if they are few it is broadcast, so that ``left``
+    is not shuffled on keys one of which may hold a large part of it; if not, the join
+    is a shuffled one.
+    """
+    small = right.count() * row_bytes <= BROADCAST_BYTES
+    return join_on(left, F.broadcast(right) if small else right, keys, how)
+
+
 def tidy(df: DataFrame, rows: Sequence[dict[str, Column]]) -> DataFrame:
     """Turn each row of a (usually one-row) wide aggregate into one row per metric."""
     return df.select(

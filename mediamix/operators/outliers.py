@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from mediamix.catalog import Catalog
 from mediamix.functions.scalars import clip
-from mediamix.grain import Grain, join_on, tidy
+from mediamix.grain import Grain, join_measured, join_on, tidy
 from mediamix.operators.quantiles import ACCURACY, quantile_column, segment_quantiles
 from mediamix.operators.series import fill_series, trailing_mean
+from mediamix.session import cut_lineage
 
 # Fixed values.
 IQR_FACTOR = 1.5
@@ -29,7 +30,7 @@ def with_bounds(df: DataFrame, grain: Grain, quantile_columns: Sequence[str], mo
 
     With a unique grain a segment is as long as the calendar, and one window, on the
     partitioning the fills need anyway, avoids computing the input twice.  Otherwise: one
-    aggregate and one join.
+    aggregate, written out because its size decides on the join.
     """
     keys = list(grain.keys)
     if grain.unique:
@@ -58,7 +59,10 @@ def with_bounds(df: DataFrame, grain: Grain, quantile_columns: Sequence[str], mo
     if moments:
         spread = df.groupBy(*keys).agg(*moments)
         stats = spread if stats is None else join_on(stats, spread, keys)
-    return df if stats is None else join_on(df, stats, keys, "left")
+    if stats is None:
+        return df
+    stats = cut_lineage(stats)
+    return join_measured(df, stats, keys, row_bytes=8 * len(stats.columns) + 64, how="left")
 
 
 def drop_bounds(df: DataFrame) -> DataFrame:

@@ -7,7 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mediamix.grain import Grain, join_on
+from mediamix.grain import Grain, join_measured, join_on
+from mediamix.session import cut_lineage
 
 # Fixed value: accuracy of the single-pass quantile, exact below half as many values.
 ACCURACY = 1_000_000
@@ -61,7 +62,8 @@ def _refined(
 ) -> DataFrame:
     """Sketch, then count.
 
-    Pass 1 sketches every segment, which is exact up to ``sketch / 2`` values and else
+    The result of pass 1, a row per segment, is written out and decides whether there is
+    a pass 2 at all.  Pass 1 sketches every segment, which is exact up to ``sketch / 2`` values and else
     brackets each quantile between two values a few ranks-per-``sketch`` apart.  Pass 2
     counts the distinct values inside the brackets of the large segments (grouped by
     value, so spread over the cluster) and the rows below them, cuts each bracket into
@@ -70,7 +72,7 @@ def _refined(
     keys, margin = list(grain.keys), 2.0 / sketch
     asked = [p for q in probabilities for p in (max(q - margin, 0.0), q, min(q + margin, 1.0))]
     values = df.select(*keys, *[value.alias(f"__v_{name}") for name, value in columns.items()])
-    first = values.groupBy(*keys).agg(
+    sketched = values.groupBy(*keys).agg(
         *[
             c
             for name in columns
@@ -80,6 +82,7 @@ def _refined(
             )
         ]
     )
+    first = cut_lineage(sketched)
     small = sketch // 2
     brackets = [
         F.struct(
@@ -96,9 +99,19 @@ def _refined(
     ]
     bounds = first.select(*keys, F.filter(F.array(*brackets), lambda b: b["__large"]).alias("__bounds"))
     bounds = bounds.filter(F.size("__bounds") > 0)
+    direct = first.select(
+        *keys,
+        *[
+            F.col(f"__s_{name}")[3 * i + 1].alias(quantile_column(name, i))
+            for name in columns
+            for i in range(len(probabilities))
+        ],
+    )
+    if bounds.isEmpty():
+        return direct
 
     # one row per value and bracket it lies in or below; below only as a count
-    tagged = join_on(values, bounds, keys)
+    tagged = join_measured(values, bounds, keys, row_bytes=80 * len(brackets))
     per_value = F.array(
         *[F.struct(F.lit(name).alias("__of"), F.col(f"__v_{name}").alias("__v")) for name in columns]
     )
@@ -144,10 +157,11 @@ def _refined(
             for i in range(len(probabilities))
         ]
     )
-    return join_on(first, refined, keys, "left").select(
+    done = join_on(direct, refined, keys, "left")
+    return done.select(
         *keys,
         *[
-            F.coalesce(F.col(f"__r{i}_{name}"), F.col(f"__s_{name}")[3 * i + 1]).alias(quantile_column(name, i))
+            F.coalesce(f"__r{i}_{name}", quantile_column(name, i)).alias(quantile_column(name, i))
             for name in columns
             for i in range(len(probabilities))
         ],

@@ -122,8 +122,9 @@ def candidate_fits(spark: SparkSession, d: str) -> DataFrame:
 
 def selection(spark: SparkSession, d: str):
     panel, spec = panel_spec(spark, d)
+    panel = cut_lineage(panel)
     options = SearchOptions(trials=2, iterations=10, min_candidates=6)
-    return select_models(panel, spec, media(spark, d), options=options)
+    return select_models(panel, spec, features.media_long(panel, MEDIA), options=options)
 
 
 def clustered(spark: SparkSession, d: str) -> DataFrame:
