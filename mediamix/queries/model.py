@@ -9,7 +9,7 @@ from mediamix.grain import Grain
 from mediamix.modelling import budget, cluster, decompose, exposure_fit, features, pareto, score, search
 from mediamix.modelling.search import BOUNDS, ModelSpec
 from mediamix.operators import calendar, conform
-from mediamix.plans.model import SearchOptions, select_models
+from mediamix.plans.model import SearchOptions, Selection, select_models
 from mediamix.queries.prepare import rounded
 from mediamix.queries.sqltext import PRICE, SALES, SPENDS, rounded_sql, sql
 from mediamix.session import cut_lineage
@@ -120,11 +120,18 @@ def candidate_fits(spark: SparkSession, d: str) -> DataFrame:
     return search.search_candidates(cut_lineage(panel), spec, trials=2, iterations=10)
 
 
-def selection(spark: SparkSession, d: str):
-    panel, spec = panel_spec(spark, d)
-    panel = cut_lineage(panel)
-    options = SearchOptions(trials=2, iterations=10, min_candidates=6)
-    return select_models(panel, spec, features.media_long(panel, MEDIA), options=options)
+_selections: dict[tuple[str, str], Selection] = {}
+
+
+def selection(spark: SparkSession, d: str) -> Selection:
+    """One search shared by the queries that read it; its frames are written tables."""
+    known = (spark.sparkContext.applicationId, d)
+    if known not in _selections:
+        panel, spec = panel_spec(spark, d)
+        panel = cut_lineage(panel)
+        options = SearchOptions(trials=2, iterations=10, min_candidates=6)
+        _selections[known] = select_models(panel, spec, features.media_long(panel, MEDIA), options=options)
+    return _selections[known]
 
 
 def clustered(spark: SparkSession, d: str) -> DataFrame:
