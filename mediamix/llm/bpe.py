@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mediamix.llm.common import map_batches, whole_text
+from mediamix.llm.common import map_batches, type_of, whole_text
 
 #: Fixed value: the published word pattern of byte-level BPE vocabularies of this kind.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -247,5 +247,5 @@ def encode_decode(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: s
         return run
 
     plain = docs.select(F.col(key).alias("key"), whole_text(text).alias("text"))
-    ddl = f"key {docs.schema[key].dataType.simpleString()}, n_tokens bigint, ids_sha256 string, decoded_sha256 string, round_trip boolean"
+    ddl = f"key {type_of(docs, key)}, n_tokens bigint, ids_sha256 string, decoded_sha256 string, round_trip boolean"
     return map_batches(plain, make, ddl + (", ids binary, decoded string" if with_ids else "")).withColumnRenamed("key", key)

@@ -7,8 +7,8 @@ from collections.abc import Callable
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType
+from pyspark.sql.pandas.types import to_arrow_schema, to_arrow_type
+from pyspark.sql.types import StructField, StructType
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,7 +18,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def whole_text(name: str = "text") -> Column:
     """The text, empty where it is null."""
-    return F.coalesce(F.col(name), F.lit("")).alias(name)
+    return F.coalesce(F.col(name), F.lit(""))
+
+
+def type_of(df: DataFrame, name: str) -> str:
+    return df.schema[name].dataType.simpleString()
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def map_batches(df: DataFrame, make: Callable[[], Callable[[dict], dict]], ddl: str) -> DataFrame:
@@ -39,9 +51,32 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[dict], dict]], ddl:
     return df.mapInArrow(run, schema)
 
 
+def append(df: DataFrame, make: Callable[[], Callable], read: list[Column], ddl: str, name: str, keep: list[str] | None = None) -> DataFrame:
+    """``keep`` columns of ``df`` (all, if None) and a struct column of fields ``ddl``.
+
+    ``make`` builds, in each task, a function from lists of the ``read`` columns to a list
+    of one value per row: a tuple of the fields. Kept columns pass through untouched.
+    """
+    keep = df.columns if keep is None else keep
+    fields = StructType.fromDDL(ddl)
+    schema = StructType([*(df.schema[c] for c in keep), StructField(name, fields)])
+    kind, names, n = to_arrow_type(fields), fields.names, len(keep)
+
+    def run(batches):
+        function = make()
+        for batch in batches:
+            if batch.num_rows:
+                rows = function(*(c.to_pylist() for c in batch.columns[n:]))
+                made = pa.array([dict(zip(names, r)) for r in rows], kind)
+                own = [pa.field(f.name, f.type) for f in batch.schema][:n]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:n], made], schema=pa.schema([*own, pa.field(name, kind)]))
+
+    return df.select(*(F.col(f"`{c}`") for c in keep), *(c.alias(f"__read{i}") for i, c in enumerate(read))).mapInArrow(run, schema)
+
+
 def row_key(key: str = "doc_id", text: str = "text") -> Column:
     """Key of a document that stays defined for null and repeated ids.
 
     Rows that agree in id and text share a key and every decision.
     """
-    return F.struct(F.col(key).alias("id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash"))
+    return F.struct(F.col(key).alias("id"), F.xxhash64(whole_text(text)).alias("text_hash"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from mediamix.llm import bpe
+from mediamix.llm import bpe, chat, quality, secrets
 from mediamix.llm.common import table
 
 Q, S = {}, {}
@@ -19,3 +19,20 @@ def query(function):
 @query
 def op2_bpe(spark: SparkSession, sf_dir: str, vocabulary: str = public_tokenizers.path("byte_bpe_50k.json")) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), vocabulary)
+
+
+@query
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = ("n_assign", "n_access", "n_hex", "base_sha256", "spans")
+    return secrets.scan(table(spark, sf_dir, "documents"), keep=["doc_id"]).select("doc_id", *(f"secrets.{f}" for f in fields))
+
+
+@query
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"), keep=["doc_id"]).select("doc_id", "quality.*")
+
+
+@query
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = chat.log_of_rows(table(spark, sf_dir, "conversations")).unionByName(chat.log_of_rows(chat.probe(spark)))
+    return chat.digests(chat.format_log(log, order=("seq", "role", "text")))
