@@ -22,15 +22,28 @@ def local_session(cores: int = 8, name: str = "mediamix", shuffle_partitions: in
     )
 
 
+def is_local(master: str | None) -> bool:
+    """Whether driver and executors are one process and share its folders."""
+    return bool(master) and (master == "local" or master.startswith("local["))
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared checkpoint folder: the one the session names, a fresh local one if none."""
+    """The shared checkpoint folder that the session names.
+
+    Without one, a local session gets a fresh temporary folder. On a cluster that folder
+    would be another one on each machine, so a missing setting is an error there.
+    """
     context = spark.sparkContext
     current = context.getCheckpointDir()
     if current:
         return current
-    path = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="mediamix-checkpoint-")
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path:
+        if not is_local(context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        path = tempfile.mkdtemp(prefix="mediamix-checkpoint-")
     context.setCheckpointDir(path)
-    return path
+    return context.getCheckpointDir()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -42,4 +55,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._cut_path = path
+    return table
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables of ``cut_lineage`` that no later plan reads; others stay."""
+    for table in tables:
+        path = getattr(table, "_cut_path", None)
+        if path:
+            jvm = table.sparkSession.sparkContext._jvm
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
