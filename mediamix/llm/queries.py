@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from mediamix.llm import bpe, chat, quality, secrets
+from mediamix.llm import bpe, chat, minhash, quality, secrets
 from mediamix.llm.common import table
 
 Q, S = {}, {}
@@ -36,3 +36,8 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = chat.log_of_rows(table(spark, sf_dir, "conversations")).unionByName(chat.log_of_rows(chat.probe(spark)))
     return chat.digests(chat.format_log(log, order=("seq", "role", "text")))
+
+
+@query
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
