@@ -33,6 +33,17 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def apart(df: DataFrame, side: DataFrame) -> DataFrame:
+    """``side`` with column names that ``df`` doesn't have, in order."""
+    return side.toDF(*(free_name(df, f"__{c}") for c in side.columns))
+
+
+def same_row(docs: DataFrame, side: DataFrame, key: str, text: str) -> Column:
+    """Condition that joins ``docs`` to the first two columns of ``side``: id and text hash."""
+    number, hashed = (F.col(c) for c in side.columns[:2])
+    return F.col(key).eqNullSafe(number) & (F.xxhash64(whole_text(text)) == hashed)
+
+
 def map_batches(df: DataFrame, make: Callable[[], Callable[[dict], dict]], ddl: str) -> DataFrame:
     """Run the function that ``make`` builds in each task over Arrow batches.
 

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mediamix.llm.common import map_batches, row_key, type_of, whole_text
+from mediamix.llm.common import apart, map_batches, row_key, same_row, type_of, whole_text
 from mediamix.llm.components import components
 from mediamix.session import cut_lineage, release
 
@@ -211,6 +211,5 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
 def first_of_each_group(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
     """The documents that stand for their group; columns as they were."""
     found = near_duplicates(docs, key, text, percent)
-    gone = found.where("NOT kept").select(F.col(key).alias("__id"), F.col("text_hash").alias("__hash")).distinct()
-    match = F.col(key).eqNullSafe(F.col("__id")) & (F.xxhash64(whole_text(text)) == F.col("__hash"))
-    return docs.join(gone, match, "left_anti")
+    gone = apart(docs, found.where("NOT kept").select(key, "text_hash").distinct())
+    return docs.join(gone, same_row(docs, gone, key, text), "left_anti")

@@ -11,7 +11,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mediamix.llm.common import append, free_name, map_batches, whole_text
+from mediamix.llm.common import append, apart, free_name, map_batches, whole_text
 from mediamix.session import cut_lineage
 
 #: Frequent function words of four languages.
@@ -170,11 +170,11 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", keep: list[st
     other columns pass through. An empty table gives an empty result.
     """
     found = cut_lineage(references(docs, text, lang))
-    own = found.where(f"lang IS NOT NULL AND n_docs >= {LEAST_DOCS}").select(F.col("lang").alias("__lang"), F.col("shares").alias("__own"))
+    own = apart(docs, found.where(f"lang IS NOT NULL AND n_docs >= {LEAST_DOCS}").select("lang", "shares"))
     row = found.where("lang IS NULL").select("shares").collect()  # one row of fixed width
     every = np.array(row[0][0]) if row else None  # none: no document is long enough to be compared
     keep = docs.columns if keep is None else keep
-    joined = docs.join(own, F.col(lang) == F.col("__lang"), "left")
+    joined = docs.join(own, F.col(lang) == F.col(own.columns[0]), "left")
 
     def make():
         def nearest(counts: np.ndarray, own: np.ndarray, every: np.ndarray) -> float:
@@ -199,7 +199,7 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", keep: list[st
 
         return run
 
-    return append(joined, make, [whole_text(text), F.col("__own")], FIELDS, name, keep)
+    return append(joined, make, [whole_text(text), F.col(own.columns[1])], FIELDS, name, keep)
 
 
 def accepted(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:

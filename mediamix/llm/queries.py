@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from mediamix.llm import bpe, chat, minhash, quality, secrets
+from mediamix.llm import bpe, chat, linededup, minhash, quality, secrets
 from mediamix.llm.common import table
 
 Q, S = {}, {}
@@ -41,3 +41,8 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
+@query
+def op1_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.dedup_lines(table(spark, sf_dir, "documents"), keep=["doc_id"]).select("doc_id", "dedup.*")
