@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from mediamix.llm import bpe, chat, linededup, minhash, quality, secrets
+from mediamix.llm import bpe, chat, linededup, minhash, packing, quality, secrets
 from mediamix.llm.common import table
 
 Q, S = {}, {}
@@ -46,3 +46,8 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.dedup_lines(table(spark, sf_dir, "documents"), keep=["doc_id"]).select("doc_id", "dedup.*")
+
+
+@query
+def op9_packing(spark: SparkSession, sf_dir: str, vocabulary: str = public_tokenizers.path("word_bpe_49k.json")) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary)
