@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from mediamix.llm import bpe, chat, linededup, minhash, packing, quality, secrets
+from mediamix.llm import bpe, bytenet, chat, linededup, minhash, packing, quality, secrets
 from mediamix.llm.common import table
 
 Q, S = {}, {}
@@ -51,3 +51,10 @@ def op1_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_packing(spark: SparkSession, sf_dir: str, vocabulary: str = public_tokenizers.path("word_bpe_49k.json")) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary)
+
+
+@query
+def op7_bytenet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    network = bytenet.train(docs, table(spark, sf_dir, "labels"))
+    return bytenet.classify(docs, network, keep=["doc_id"]).select("doc_id", "quality.*")
