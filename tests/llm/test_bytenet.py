@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.01"
 def test_held_out_accuracy(spark):
     docs, labels = (spark.read.parquet(f"{SF}/{n}.parquet") for n in ("documents", "labels"))
     network = bytenet.train(docs, labels)
-    scored = bytenet.classify(docs, network, keep=["doc_id"]).join(labels, "doc_id").select("doc_id", "quality.*", labels["quality"].alias("label"))
+    scored = bytenet.classify(docs, network, keep=["doc_id"], name="found").join(labels, "doc_id").select("doc_id", "found.*", F.col("quality").alias("label"))
     rows = [r for r in scored.collect() if r.held_out]
     assert all((zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
     good, bad = ([r.score for r in rows if r.label == v] for v in (1, 0))
