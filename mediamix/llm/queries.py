@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from mediamix.llm import bpe, bytenet, chat, linededup, minhash, packing, quality, secrets
+from mediamix.llm import bpe, bytenet, chat, linededup, minhash, mtree, packing, quality, secrets
 from mediamix.llm.common import table
 
 Q, S = {}, {}
@@ -58,3 +58,23 @@ def op7_bytenet(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     network = bytenet.train(docs, table(spark, sf_dir, "labels"))
     return bytenet.classify(docs, network, keep=["doc_id"]).select("doc_id", "quality.*")
+
+
+@query
+def op3_mtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mtree.top_k(table(spark, sf_dir, "embeddings"), every=50)
+
+
+S["op3_mtree"] = """
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
