@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from mediamix.llm import bpe, bytenet, chat, linededup, minhash, mtree, packing, quality, secrets
+from mediamix.llm import bpe, bytenet, chat, licenses, linededup, minhash, mtree, packing, quality, secrets
 from mediamix.llm.common import table
 
 Q, S = {}, {}
@@ -78,3 +79,11 @@ WITH v AS (
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
+
+
+@query
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table has no paths; a document stands at source/lang/doc_id."""
+    docs = table(spark, sf_dir, "documents")
+    path = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))
+    return licenses.scan(docs.select("doc_id", "text", path.alias("path")))
