@@ -31,14 +31,17 @@ BLOCK = 1 << 16
 NEARLY = 8
 #: A round that leaves more than this share of its items is the last.
 NO_HELP = 0.95
-REMEMBERED = 400_000
+REMEMBERED = 500_000
+#: Characters that are split at a time, and new stretches that are encoded at a time.
+CHARACTERS, TOGETHER = 1 << 20, 512
 
 
 class Encoder:
-    """Ids by the tokenizers library, with remembered stretches between white space.
+    """Ids by the tokenizers library, with remembered stretches between spaces and line feeds.
 
-    Valid for vocabularies whose words never contain a space or line feed, whose
-    normalization doesn't look beyond them and which drop white space; checked on loading.
+    For vocabularies that drop white space, lower-case, and whose words and normalization
+    never look across a space or line feed; checked on loading, else texts go whole. New
+    stretches are encoded together, parted by a special token, whose id parts their ids.
     """
 
     def __init__(self, path: str):
@@ -48,27 +51,53 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_padding()
         self.library.no_truncation()
-        self.apart = self._whole("ab \n cd") == self._whole("ab") + self._whole("cd") and not self._whole(" \n")
+        special = [(t.content, i) for i, t in self.library.get_added_tokens_decoder().items() if t.special and not (t.single_word or t.lstrip or t.rstrip or t.normalized)]
+        self.mark, self.mark_id = special[-1] if special else ("", -1)
+        split = self._whole("ab") + self._whole("cd") + self._whole("!")
+        self.apart = bool(special) and self._whole("AB \n cd !") == split and not self._whole(" \n") and all(c.startswith("<|") for c, _ in special)
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def encode(self, text: str) -> bytes:
-        """Ids of a whole text as little-endian unsigned 32-bit integers."""
-        if not self.apart:
-            return self._whole(text)
-        parts = text.replace("\n", " ").split(" ")
+    def _remember(self, parts: set[str]) -> None:
         if len(self.new) > REMEMBERED:
             self.old, self.new = self.new, {}
-        missing = set(parts).difference(self.new)
+        missing = parts.difference(self.new)
         for part in missing.intersection(self.old):
             self.new[part] = self.old[part]
-        missing = list(missing.difference(self.old))
-        for part, found in zip(missing, self.library.encode_batch(missing, add_special_tokens=False)):
-            self.new[part] = np.array(found.ids, "<u4").tobytes()
-        return b"".join(map(self.new.__getitem__, parts))
+        missing = missing.difference(self.old)
+        odd = [m for m in missing if "<|" in m]
+        self.new.update((m, self._whole(m)) for m in odd)
+        plain = list(missing.difference(odd))
+        for start in range(0, len(plain), TOGETHER):
+            some = plain[start : start + TOGETHER]
+            ids = np.array(self.library.encode(self.mark.join(some), add_special_tokens=False).ids, "<u4")
+            ends = np.flatnonzero(ids == self.mark_id)
+            data = ids.tobytes()
+            for part, a, b in zip(some, [0, *(4 * (ends + 1)).tolist()], [*(4 * ends).tolist(), len(data)]):
+                self.new[part] = data[a:b]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of whole texts as little-endian unsigned 32-bit integers."""
+        if not self.apart:
+            return [self._whole(t) for t in texts]
+        out, start = [], 0
+        while start < len(texts):
+            end, size, split = start, 0, []
+            while end < len(texts) and (end == start or size < CHARACTERS):
+                text = texts[end]
+                if "<|" not in text:  # those may hold special tokens, which are found before lower-casing
+                    text = text.encode().lower().decode()  # ASCII letters only
+                split.append(text.replace("\n", " ").split(" "))
+                size += len(text)
+                end += 1
+            self._remember(set().union(*split))
+            ids = self.new.__getitem__
+            out += [b"".join(map(ids, parts)) for parts in split]
+            start = end
+        return out
 
 
 @functools.lru_cache(maxsize=2)
@@ -89,8 +118,8 @@ def pieces(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "t
 
         def run(columns: dict) -> dict:
             rows = []
-            for number, t in zip(columns["key"], columns["text"]):
-                ids = model.encode(t) + end
+            for number, ids in zip(columns["key"], model.encode(columns["text"])):
+                ids += end
                 for n, a in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[a : a + 4 * capacity]
                     rows.append((number, n, a // 4, len(part) // 4, zlib.crc32(part), *([part] if with_ids else [])))

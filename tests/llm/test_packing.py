@@ -53,8 +53,9 @@ def test_encoder_equals_the_library():
     texts += ["".join(rng.choice([chr(rng.choice(points)), chr(rng.randrange(0x3000)), rng.choice(" \n\t'slté1.")]) for _ in range(rng.randrange(40))) for _ in range(2000)]
     model = packing.Encoder(PATH)
     assert model.apart
-    for text in texts:
-        assert model.encode(text) == np.array(ids(text)[:-1], "<u4").tobytes(), repr(text)
+    texts += ["<|ENDOFTEXT|> A", "a<|endoftext|><|endoftext|>", "I\u0307 K\u030a A\u030a \u212a", "<|"]
+    for text, got in zip(texts, model.encode(texts)):
+        assert got == np.array(ids(text)[:-1], "<u4").tobytes(), repr(text)
 
 
 def test_nulls_long_texts_repeated_rows_and_columns(spark, docs):
