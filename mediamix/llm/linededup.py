@@ -124,7 +124,8 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", least_
     """
     found = apart(docs, repeated_runs(docs, key, text, least_words))
     keep = docs.columns if keep is None else keep
-    joined = docs.join(found, same_row(docs, found, key, text), "left")
+    # the runs grow with the corpus: merged at every size, never broadcast
+    joined = docs.join(found.hint("merge"), same_row(docs, found, key, text), "left")
 
     def make():
         def run(texts: list[str], matched: list) -> list[tuple]:
