@@ -16,6 +16,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -123,7 +124,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
         hashes = WordHashes()
 
         def run(columns: dict) -> dict:
-            return {"cls": columns["cls"], "elements": [shingles(t, hashes).view(np.int64).tolist() for t in columns["text"]]}
+            return {"cls": columns["cls"], "elements": [np.sort(shingles(t, hashes).view(np.int64)).tolist() for t in columns["text"]]}
 
         return run
 
@@ -132,6 +133,84 @@ def _sets(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
     return map_batches(found.select("cls", "text"), make, "cls binary, elements array<bigint>")
 
 
+#: Classes and set elements of a block of members that are compared with a block of others.
+BLOCK_CLASSES, BLOCK_ELEMENTS = 256, 1 << 20
+
+
+def _renamed(roots: DataFrame, merged: DataFrame) -> DataFrame:
+    """(node, root) with the roots that ``merged`` (node, root) maps to others."""
+    return roots.join(merged.toDF("root", "least"), "root", "left").select("node", F.coalesce("least", "root").alias("root"))
+
+
+def _links_within_families(star: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links between roots that share a bucket and have not been joined by its hub.
+
+    The family of a hub holds all members of its buckets that still have several roots, so
+    any two members of such a bucket are in one family. Those of the family's commonest root
+    need no comparison among themselves; the rest is compared with the whole family.
+    """
+    rooted = star.join(roots, star["cls"] == roots["node"]).drop("node")
+    mixed = rooted.groupBy("bucket").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("bucket")
+    family = cut_lineage(rooted.join(mixed, "bucket", "left_semi").select("hub", "cls", "n", "root").distinct())
+    common = family.groupBy("hub", "root").agg(F.count("*").alias("n")).groupBy("hub").agg(F.max(F.struct("n", "root")).alias("most"))
+    other = F.when(F.col("root") != F.col("most.root"), 1).otherwise(0)
+    counted = family.join(common, "hub").withColumn("other", other)
+    blocks = counted.groupBy("hub").agg(
+        *(F.ceil(F.greatest(count / BLOCK_CLASSES, weight / BLOCK_ELEMENTS)).cast("int").alias(name) for name, count, weight in (("all_blocks", F.count("*"), F.sum("n")), ("other_blocks", F.sum("other"), F.sum(F.col("n") * F.col("other")))))
+    )
+    placed = counted.join(blocks, "hub").join(sets, "cls").select("hub", "other", "all_blocks", "other_blocks", "root", "elements", F.xxhash64("cls").alias("h"))
+
+    def side(rows: DataFrame, own: str, across: str) -> DataFrame:
+        """Each row in its own block, for every block of the other side."""
+        at = F.pmod("h", own).cast("int").alias(own)
+        return rows.select("hub", at, F.explode(F.sequence(F.lit(0), F.col(across) - 1)).alias(across), "root", "elements").select("hub", "other_blocks", "all_blocks", "root", "elements")
+
+    keys = ("hub", "other_blocks", "all_blocks")
+    one = side(placed.where("other = 1"), "other_blocks", "all_blocks").groupBy(*keys)
+    every = side(placed, "all_blocks", "other_blocks")
+    every = every.select(*(F.col(c).alias(f"{c}_") for c in every.columns)).toDF(*every.columns).groupBy(*keys)
+
+    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
+        a, b = [], []
+        if left.num_rows and right.num_rows:
+            for x, y in linking_pairs(left["root"].to_pylist(), _arrays(left), right["root"].to_pylist(), _arrays(right), percent):
+                a.append(x)
+                b.append(y)
+        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+
+    return one.cogroup(every).applyInArrow(compare, "a binary, b binary")
+
+
+def _arrays(table: pa.Table) -> list[np.ndarray]:
+    column = table["elements"].combine_chunks()
+    ends, values = np.asarray(column.offsets), np.asarray(column.values)
+    return [values[a:b] for a, b in zip(ends, ends[1:])]
+
+
+def linking_pairs(roots_a: list[bytes], sets_a: list[np.ndarray], roots_b: list[bytes], sets_b: list[np.ndarray], percent: int) -> list[tuple[bytes, bytes]]:
+    """Links between the sets of two blocks that join different roots; a forest of them."""
+    up: dict[bytes, bytes] = {}
+
+    def find(r: bytes) -> bytes:
+        while (above := up.get(r, r)) != r:
+            r = above
+        return r
+
+    out = []
+    sizes = np.array([len(s) for s in sets_b])
+    flat, owner = np.concatenate(sets_b), np.repeat(np.arange(len(sets_b)), sizes)
+    for root, elements in zip(roots_a, sets_a):
+        at = np.searchsorted(elements, flat)
+        at[at == len(elements)] = 0
+        common = np.bincount(owner[elements[at] == flat], minlength=len(sets_b))
+        for i in np.flatnonzero(100 * common >= percent * (sizes + len(elements) - common)).tolist():
+            x, y = find(root), find(roots_b[i])
+            if x != y:
+                up[max(x, y)] = min(x, y)
+                out.append((root, roots_b[i]))
+    return out
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 85) -> DataFrame:
     """Groups of documents linked by similar shingle sets, directly or through others.
 
@@ -143,18 +222,18 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     one document and stay or go together. Other columns are not read. An empty table gives
     an empty result.
 
-    Copies are never expanded to pairs. A class that shares many bands with many others is
-    the hub of its buckets, and the other members are compared with it; what is not linked
-    yet is compared with 4, 16, ... further hubs a bucket, until every pair of different
-    groups in a bucket has been compared. So no pair is left out for a bucket's size.
+    Copies are never expanded to pairs. The class of a bucket that shares most bands with
+    others is its hub, and every member is compared with it. Where that leaves a bucket
+    with several groups, the members outside the largest group are compared with all others
+    of the hub's family, block by block inside tasks of bounded size; only the links that
+    join groups come out. So no pair is left out for a bucket's size, and none is a row.
     """
     described = cut_lineage(_described(docs, key, text))
-    classes = (
+    classes = cut_lineage(
         described.where("cls IS NOT NULL")
         .groupBy("cls")
         .agg(F.min("id").alias("least_id"), F.min(F.struct("id", "text_hash")).alias("row"), F.first("n").alias("n"), F.first("bands").alias("bands"))
     )
-    classes = cut_lineage(classes)
     in_bands = classes.select("cls", "n", F.explode("bands").alias("bucket"))
     buckets = in_bands.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
     shared = in_bands.join(buckets, "bucket")
@@ -162,41 +241,19 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     shared = cut_lineage(shared.drop("members").join(popular, "cls"))
     nodes = shared.select("cls").distinct()
     sets = cut_lineage(_sets(docs, classes.select("cls", "row.*").join(nodes, "cls", "left_semi"), key, text))
-    roots = cut_lineage(nodes.select(F.col("cls").alias("node"), F.col("cls").alias("root")))
-
-    hubs = 1
-    while True:
-        labelled = shared.join(roots, shared["cls"] == roots["node"]).drop("node")
-        # only buckets that still hold two groups
-        mixed = labelled.groupBy("bucket").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count("*").alias("members")).where("r0 <> r1")
-        open_ = cut_lineage(labelled.join(mixed.select("bucket", "members"), "bucket"))
-        size = open_.agg(F.max("members")).collect()[0][0]
-        if size is None:
-            release(open_)
-            break
-        # a last round makes every member a hub of its own
-        slot = F.pmod(F.xxhash64("cls"), F.lit(hubs)) if hubs < size else F.col("cls")
-        best = open_.groupBy("bucket", slot.alias("slot")).agg(F.max(F.struct("popular", "cls", "n", "root")).alias("hub"))
-        hub = best.select("bucket", F.col("hub.cls").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.root").alias("hub_root"))
-        near = f"100 * least(n, hub_n) >= {percent} * greatest(n, hub_n)"
-        pairs = open_.join(hub, "bucket").where(f"root <> hub_root AND {near}")
-        pairs = pairs.select(F.least("cls", "hub").alias("a"), F.greatest("cls", "hub").alias("b")).distinct()
-        one, other = sets.toDF("a", "x"), sets.toDF("b", "y")
-        both = pairs.join(one, "a").join(other, "b").withColumn("common", F.size(F.array_intersect("x", "y")))
-        linked = both.where(f"100 * common >= {percent} * (size(x) + size(y) - common)").select("a", "b")
-        linked = cut_lineage(linked)
-        last = hubs >= size
-        if not linked.isEmpty():
-            named = linked.join(roots.toDF("a", "ra"), "a").join(roots.toDF("b", "rb"), "b")
-            merged = components(named.select(F.col("ra").alias("a"), F.col("rb").alias("b"))).toDF("root", "least")
-            following = cut_lineage(roots.join(merged, "root", "left").select("node", F.coalesce("least", "root").alias("root")))
-            release(roots)
-            roots = following
-        release(open_, linked)
-        if last:
-            break
-        hubs *= 4
-    release(sets, shared)
+
+    best = shared.groupBy("bucket").agg(F.max(F.struct("popular", "cls", "n")).alias("hub"))
+    star = shared.join(best, "bucket").select("bucket", "cls", "n", F.col("hub.cls").alias("hub"), F.col("hub.n").alias("hub_n"))
+    star = cut_lineage(star)
+    near = f"100 * least(n, hub_n) >= {percent} * greatest(n, hub_n)"
+    pairs = star.where(f"cls <> hub AND {near}").select(F.col("hub").alias("a"), F.col("cls").alias("b")).distinct()
+    both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b").withColumn("common", F.size(F.array_intersect("x", "y")))
+    linked = cut_lineage(both.where(f"100 * common >= {percent} * (size(x) + size(y) - common)").select("a", "b"))
+    roots = cut_lineage(_renamed(nodes.select(F.col("cls").alias("node"), F.col("cls").alias("root")), components(linked)))
+    more = cut_lineage(_links_within_families(star, roots, sets, percent))
+    final = cut_lineage(_renamed(roots, components(more)))
+    release(shared, linked, roots, more, star, sets)
+    roots = final
 
     grouped = classes.select("cls", "least_id").join(roots, F.col("cls") == F.col("node"), "left").select("cls", "least_id", F.coalesce("root", "cls").alias("root"))
     least = grouped.groupBy("root").agg(F.min("least_id").alias("component_id"), F.min("cls").alias("first_cls"))

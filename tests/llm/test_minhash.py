@@ -75,6 +75,22 @@ def test_families_whose_members_are_near_to_some_only(spark, docs, percent):
     assert ours(spark, docs(rows), percent) == brute(rows, percent)
 
 
+def test_families_in_many_small_blocks(spark, docs, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK_CLASSES", 7)
+    rng = random.Random(8)
+    found = [t for edits in (0, 1, 2, 3, 4) for t in family(random.Random(1), 1, 90, 0) + family(rng, 20, 90, edits)]
+    base = found[0].split()
+    for _ in range(60):  # edits of one text, some of them far from it and near to each other
+        copy = list(base)
+        for at in rng.sample(range(0, 90, 6), rng.choice([1, 2, 3, 3, 4])):
+            copy[at] = f"y{rng.randrange(2)}"
+        found.append(" ".join(copy))
+    rows = list(enumerate(found))
+    expected = brute(rows, 85)
+    assert len({c for _, _, c in expected}) > 20
+    assert ours(spark, docs(rows)) == expected
+
+
 def test_chain_links_ends(spark, docs):
     words = [f"w{i}" for i in range(300)]
     rows = [(i, " ".join(words[10 * i : 10 * i + 200])) for i in range(8)]
