@@ -26,8 +26,9 @@ from mediamix.llm.components import components
 from mediamix.session import cut_lineage, release
 
 WORDS = 5
-#: 25 bands of 5 places: a pair of similarity 0.85 shares no band with probability 4e-7.
-BANDS, ROWS = 25, 5
+#: 30 bands of 5 places: a pair of similarity 0.85 shares no band with probability 2e-8, one
+#: of 0.8 with 7e-6.
+BANDS, ROWS = 30, 5
 COORDINATES = BANDS * ROWS
 REMEMBERED = 500_000
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
