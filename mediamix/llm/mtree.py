@@ -26,7 +26,7 @@ from mediamix.llm.common import map_batches
 from mediamix.session import cut_lineage, release
 
 #: Bounds: vectors of a slice, of a page, pivots of a page, queries of a block, sampled rows.
-SLICE, PAGE, FAN, BLOCK, SAMPLE = 4096, 48, 12, 4096, 1024
+SLICE, PAGE, FAN, BLOCK, SAMPLE = 8192, 512, 16, 4096, 1024
 #: Components are less than this, so that inner products stay exact in 64 bits.
 LARGEST = 1 << 26
 MARGIN = 1e-7
@@ -47,6 +47,8 @@ class Tree:
         self.pivot, distances = pivot, self._distances(pivot, everything)
         self.radius = float(distances.max())
         self.root = self._load(everything, distances, np.random.default_rng(1))
+        # inner products of less than 2^52 are exact in floating point, too, and faster there
+        self.vectors = self.float if norm**2 < 2.0**52 else vectors
         del self.float, self.rest
 
     def _distances(self, pivot: int, rows: np.ndarray) -> np.ndarray:
@@ -76,8 +78,8 @@ class Tree:
 
         Rows that score below ``least`` may be left out.
         """
-        exact = query.astype(np.int64)
-        total = float((exact**2).sum()) + self.norm**2
+        exact = query.astype(self.vectors.dtype)
+        total = float((query.astype(np.float64) ** 2).sum()) + self.norm**2
         margin = MARGIN * (self.norm + 1)
         best: list[tuple[int, int]] = []
 
@@ -108,7 +110,7 @@ class Tree:
                 continue
             rows = rows[np.abs(to_page - stored[0]) <= reach]
             if len(rows):
-                scores, ids = self.vectors[rows] @ exact, self.ids[rows]
+                scores, ids = (self.vectors[rows] @ exact).astype(np.int64), self.ids[rows]
                 good = ids != own
                 if len(best) == k:
                     good &= scores >= best[-1][0]

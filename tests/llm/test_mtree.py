@@ -26,6 +26,8 @@ def ours(spark, rows, every, **options):
 
 def test_clusters_ties_and_copies(spark, monkeypatch):
     monkeypatch.setattr(mtree, "SLICE", 150)
+    monkeypatch.setattr(mtree, "PAGE", 20)
+    monkeypatch.setattr(mtree, "FAN", 5)
     monkeypatch.setattr(mtree, "BLOCK", 20)
     rng = np.random.default_rng(1)
     centres = rng.normal(0, 1, (6, 8))
@@ -51,7 +53,8 @@ def test_extra_columns(spark):
     assert [tuple(r) for r in mtree.top_k(df, 50).collect()] == [(0, 1, 1, 131072)]
 
 
-def test_pages_are_skipped():
+def test_pages_are_skipped(monkeypatch):
+    monkeypatch.setattr(mtree, "PAGE", 48)
     rng = np.random.default_rng(2)
     centres = rng.normal(0, 300, (20, 16))
     vectors = np.floor(centres[np.arange(4000) % 20] + rng.normal(0, 3, (4000, 16))).astype(np.int64)
