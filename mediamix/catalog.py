@@ -6,7 +6,7 @@ import json
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mediamix.grain import require_columns, tidy
@@ -131,7 +131,7 @@ def check_catalog(raw: DataFrame) -> DataFrame:
 
 
 def extend_catalog(catalog: DataFrame, derived: DataFrame) -> DataFrame:
-    """Append derived metrics whose names are new; originals are not derived.
+    """Append derived metrics whose names are new, renumber; originals are not derived.
 
     ``derived`` holds field_name, channel, derived_from and funnel_role, plus pos.
     """
@@ -147,7 +147,15 @@ def extend_catalog(catalog: DataFrame, derived: DataFrame) -> DataFrame:
             "is_derived": F.lit(True),
         }
     )
-    return originals.unionByName(new.select(originals.columns))
+    both = originals.unionByName(new.select(originals.columns))
+    # one row per metric of the catalogue; positions stay whole numbers that a file holds
+    place = F.row_number().over(Window.orderBy("pos")) - 1
+    return both.withColumn("pos", place.cast("bigint"))
+
+
+def present_metrics(catalog: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The catalogue's rows that ``columns`` of the data carry."""
+    return catalog.filter(F.col("field_name").isin(list(columns)))
 
 
 def catalog_frame(spark: SparkSession, rows: Iterable[tuple[str, str, str, str | None, str]]) -> DataFrame:

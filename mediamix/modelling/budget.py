@@ -62,7 +62,10 @@ def concave_steps(curves: DataFrame) -> DataFrame:
 
 
 def budget_scenarios(curves: DataFrame) -> DataFrame:
-    """(segment, scenario, channel, steps, spend, response).
+    """(segment, scenario, channel, steps, spend, response, at_limit).
+
+    A channel can get at most what its curve reaches, ``reach`` times its mean spend;
+    ``at_limit`` marks channels that get all of it and might gain from more.
 
     ``max_response`` spends the current budget where it gains most; ``min_spend`` reaches
     the current response with the least spend.  Steps are bought per segment in order of
@@ -103,6 +106,7 @@ def budget_scenarios(curves: DataFrame) -> DataFrame:
         .groupBy("segment", "scenario", "channel")
         .agg(
             F.count_if("taken").alias("steps"),
+            (F.count_if("taken") == F.count("*")).alias("at_limit"),
             F.sum(F.when(F.col("taken"), F.col("cost")).otherwise(0.0)).alias("spend"),
             F.sum(F.when(F.col("taken"), F.col("gain")).otherwise(0.0)).alias("response"),
         )

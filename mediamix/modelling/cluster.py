@@ -12,12 +12,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mediamix.grain import join_on
-from mediamix.session import cut_lineage
+from mediamix.session import cut_lineage, release
 
 # Fixed values.
 MIN_K, MAX_K = 3, 10
 WEIGHTS = (1.0, 1.0, 1.0)
-ROUNDS = 10
+# Rounds after which clusters that still move are an error, and rounds per look.
+ROUNDS, LOOK = 300, 5
 
 
 def _distance(a: Column, b: Column) -> Column:
@@ -65,6 +66,11 @@ def _assign(points: DataFrame, centres: DataFrame) -> DataFrame:
     return points.join(centres, "segment").withColumn("cluster", nearest["cluster"])
 
 
+def _close(a: Column, b: Column) -> Column:
+    """Equal numbers of centres at equal places, but for rounding."""
+    return (F.size(a) == F.size(b)) & F.forall(F.zip_with(a, b, _distance), lambda d: F.coalesce(d < 1e-18, F.lit(False)))
+
+
 def _move(assigned: DataFrame, dimensions: int) -> DataFrame:
     means = assigned.groupBy("segment", "k", "cluster").agg(
         F.array(*[F.avg(F.col("v")[i]) for i in range(dimensions)]).alias("v")
@@ -106,13 +112,25 @@ def silhouettes(assigned: DataFrame, dimensions: int) -> DataFrame:
 def cluster_solutions(
     points: DataFrame, columns: Sequence[str], min_k: int = MIN_K, max_k: int = MAX_K, rounds: int = ROUNDS
 ) -> DataFrame:
-    """Points with ``cluster`` and ``k``, k by the best silhouette of each segment."""
+    """Points with ``cluster`` and ``k``, k by the best silhouette of each segment.
+
+    Centres move until none does any more; more than ``rounds`` rounds are an error. A
+    cluster that loses its last point is gone, so a segment may end with fewer than k.
+    """
     vectors = cut_lineage(standardised(points, columns))
     centres = _seeds(vectors, min_k, max_k)
-    for done in range(rounds):
-        centres = _move(_assign(vectors, centres), len(columns))
-        if done % 3 == 2:
-            centres = cut_lineage(centres)
+    centres = cut_lineage(centres)
+    for _ in range(-(-rounds // LOOK)):
+        before = centres
+        for _ in range(LOOK):
+            last, centres = centres, _move(_assign(vectors, centres), len(columns))
+        centres = cut_lineage(centres)
+        moved = centres.join(cut_lineage(last).withColumnRenamed("centres", "before"), ["segment", "k"])
+        if moved.filter(~_close(F.col("centres"), F.col("before"))).isEmpty():
+            break
+        release(before)
+    else:
+        raise ValueError(f"clusters still move after {rounds} rounds")
     assigned = cut_lineage(_assign(vectors, centres).drop("centres"))
     best = silhouettes(assigned, len(columns)).groupBy("segment").agg(
         F.max_by("k", F.struct("silhouette", -F.col("k"))).alias("k")

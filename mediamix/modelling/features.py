@@ -14,9 +14,9 @@ TIME_FEATURES = ["trend", "season_sin", "season_cos", "holiday"]
 DAYS_PER_YEAR = 365.25
 
 
-def holidays_per_period(holidays: DataFrame, frequency: str | Frequency) -> DataFrame:
+def holidays_per_period(holidays: DataFrame, frequency: str | Frequency, week_label: str = "iso_minus_1") -> DataFrame:
     """(date, holiday): number of holidays in each period of the panel."""
-    period = truncate(F.col("date"), parse_frequency(frequency))
+    period = truncate(F.col("date"), parse_frequency(frequency), week_label)
     return holidays.select(period.alias("date")).groupBy("date").agg(F.count("*").cast("double").alias("holiday"))
 
 
@@ -25,16 +25,18 @@ def time_features(
     holidays: DataFrame,
     keys: Sequence[str] = ("segment",),
     frequency: str | Frequency = Frequency.WEEK,
+    week_label: str = "iso_minus_1",
 ) -> DataFrame:
     """Add trend (weeks since the segment's start), yearly season and holiday count.
 
-    ``holidays`` has one row per holiday with a ``date``.
+    ``holidays`` has one row per holiday with a ``date``; ``frequency`` and ``week_label``
+    are those of the panel's dates.
     """
     start = df.groupBy(*keys).agg(F.min("date").alias("__start"))
     angle = 2 * F.pi() * F.dayofyear("date") / DAYS_PER_YEAR
     return (
         join_on(df, start, keys)
-        .join(holidays_per_period(holidays, frequency), "date", "left")
+        .join(holidays_per_period(holidays, frequency, week_label), "date", "left")
         .withColumns(
             {
                 "trend": F.datediff("date", "__start") / 7,

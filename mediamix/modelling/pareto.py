@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mediamix.grain import join_on
-from mediamix.session import cut_lineage
+from mediamix.session import cut_lineage, release
 
 # Fixed values.
 FRONTS = 3
 MIN_CANDIDATES = 200
 
-# Slices of the first criterion's range that a front is first computed on.
+# Slices of about equally many points that a front is first computed on.
 SLICES = 256
 
 
@@ -24,15 +26,17 @@ def _undominated(x: str, y: str, best: Column) -> Column:
 def front(points: DataFrame, x: str = "nrmse", y: str = "decomp_rssd", keys: tuple[str, ...] = ("segment",)) -> DataFrame:
     """Points no other point of the segment dominates.
 
-    A segment's points are first cut into slices of ``x``: a point worse than the best
+    A segment's points are first cut into slices at approximate quantiles of ``x``, so an
+    outlying value doesn't gather the rest in one slice: a point worse than the best
     ``y`` of a slice before its own cannot be on the front.  Only the front of each slice
     survives to the window over the whole segment, so a segment with very many solutions
     is worked on slice by slice.
     """
-    ranges = points.groupBy(*keys).agg(F.min(x).alias("__min"), F.max(x).alias("__max"))
-    width = F.col("__max") - F.col("__min")
-    place = F.when(width > 0, F.floor((F.col(x) - F.col("__min")) / width * SLICES)).otherwise(0)
-    sliced = join_on(points, ranges, keys).withColumn("__slice", place).drop("__min", "__max")
+    cuts = points.groupBy(*keys).agg(
+        F.percentile_approx(x, [i / SLICES for i in range(1, SLICES)], 4 * SLICES).alias("__cuts")
+    )
+    place = F.size(F.filter(F.coalesce("__cuts", F.array()), lambda c: c < F.col(x)))
+    sliced = join_on(points, cuts, keys).withColumn("__slice", place).drop("__cuts")
     best = sliced.groupBy(*keys, "__slice").agg(F.min(y).alias("__best"))
     before = Window.partitionBy(*keys).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
     best = best.withColumn("__best_before", F.min("__best").over(before))
@@ -61,19 +65,24 @@ def pareto_fronts(
     """Points of the first fronts of each segment with their ``front`` number.
 
     Fronts are peeled off one after the other, for all segments in one job each, until
-    every segment has ``fronts`` of them and ``min_candidates`` points or is used up.
+    every segment has ``fronts`` of them and ``min_candidates`` points or is used up. A
+    front is written once; later rounds carry on what is left of the open segments only.
     """
-    rest = cut_lineage(points.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).withColumn("front", F.lit(None).cast("int")))
-    number = 0
+    rest = cut_lineage(points.filter(F.col(x).isNotNull() & F.col(y).isNotNull()))
+    found: list[DataFrame] = []
+    taken = None
     while True:
-        number += 1
-        counts = rest.groupBy("segment").agg(F.count("front").alias("taken"), F.count("*").alias("all"))
-        open_segments = counts.filter((F.col("taken") < F.col("all")) & ((F.lit(number) <= fronts) | (F.col("taken") < min_candidates)))
-        if open_segments.isEmpty():
+        number = len(found) + 1
+        if number > fronts:
+            sizes = taken.groupBy("segment").agg(F.sum("n").alias("n"))
+            rest = rest.join(sizes.filter(F.col("n") < min_candidates), "segment", "left_semi")
+        if found and rest.isEmpty():
             break
-        free = rest.filter(F.col("front").isNull()).join(open_segments.select("segment"), "segment", "left_semi")
-        top = front(free, x, y).select("segment", "sol_id", F.lit(number).alias("found"))
-        rest = cut_lineage(
-            rest.join(top, ["segment", "sol_id"], "left").withColumn("front", F.coalesce("front", "found")).drop("found")
-        )
-    return rest.filter(F.col("front").isNotNull())
+        top = cut_lineage(front(rest, x, y).withColumn("front", F.lit(number)))
+        found.append(top)
+        counts = top.groupBy("segment").agg(F.count("*").alias("n"))
+        taken = counts if taken is None else taken.unionByName(counts)
+        left = cut_lineage(rest.join(top.select("segment", "sol_id"), ["segment", "sol_id"], "left_anti"))
+        release(rest)
+        rest = left
+    return reduce(DataFrame.unionByName, found)

@@ -139,21 +139,21 @@ def notes() -> Column:
     def percent(name: str) -> Column:
         return F.format_string("%.0f%%", F.col(name) * 100)
 
-    few = F.concat(F.lit("Very low ROAS (<0.3): ["), F.array_join("low_roas_channels", ", "), F.lit("]"))
+    few = F.concat(F.lit("weak channels (return under 0.3): "), F.array_join("low_roas_channels", ", "))
     return F.concat_ws(
         " | ",
-        F.when(F.col("roas") < LOW_ROAS, F.concat(F.lit("Blended ROAS="), F.format_string("%.2f", "roas"), F.lit(" (<1)"))),
+        F.when(F.col("roas") < LOW_ROAS, F.concat(F.lit("return "), F.format_string("%.2f", "roas"), F.lit(" is under 1"))),
         F.when(F.size("low_roas_channels") > 0, few),
         F.when(
             F.col("media_contribution_pct") < LOW_MEDIA,
-            F.concat(F.lit("Media explains only "), percent("media_contribution_pct"), F.lit(" of revenue")),
+            F.concat(F.lit("small media part: "), percent("media_contribution_pct")),
         ),
         F.when(
             F.col("max_channel_effect_share") > DOMINANT,
-            F.concat(F.lit("Channel dominance: "), F.col("top_channel"), F.lit(" ("), percent("max_channel_effect_share"), F.lit(")")),
+            F.concat(F.col("top_channel"), F.lit(" has "), percent("max_channel_effect_share"), F.lit(" of the effect")),
         ),
-        F.when(F.col("carryover_pct") > HIGH_CARRYOVER, F.concat(F.lit("High carryover ("), percent("carryover_pct"), F.lit(")"))),
-        F.when(F.col("rsq_train") > OVERFIT_FROM, F.concat(F.lit("R²="), F.format_string("%.3f", "rsq_train"), F.lit(" — check overfit"))),
+        F.when(F.col("carryover_pct") > HIGH_CARRYOVER, F.concat(F.lit("carried over: "), percent("carryover_pct"))),
+        F.when(F.col("rsq_train") > OVERFIT_FROM, F.concat(F.lit("may overfit, r2 "), F.format_string("%.3f", "rsq_train"))),
     )
 
 

@@ -22,7 +22,7 @@ TRIALS = 5
 BOUNDS = {"theta": (0.0, 0.8), "alpha": (0.5, 3.0), "gamma": (0.3, 1.0)}
 
 # Candidates that share one shuffled copy of their segment's series.
-BLOCK = 50
+BLOCKS_PER_TASK = 3
 
 
 @dataclass(frozen=True)
@@ -200,12 +200,15 @@ def all_candidates(panel: DataFrame, spec: ModelSpec, trials: int, iterations: i
     is searched by many tasks and its series is copied once per block.
     """
     total = trials * iterations
-    series = segment_series(panel, spec).select("segment", *[c.alias(n) for n, c in _arrays(spec).items()])
-    blocks = series.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit((total - 1) // BLOCK))))
-    first = F.col("block") * BLOCK
-    last = F.least(first + BLOCK - 1, F.lit(total - 1))
     # an explicit number keeps AQE from merging the few wide rows into one task
     tasks = int(panel.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    segments = panel.select("segment").distinct().count()
+    # a few blocks a task: many for few segments, one a segment when there are many
+    block = max(1, -(-total // max(1, -(-BLOCKS_PER_TASK * tasks // max(1, segments)))))
+    series = segment_series(panel, spec).select("segment", *[c.alias(n) for n, c in _arrays(spec).items()])
+    blocks = series.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit((total - 1) // block))))
+    first = F.col("block") * block
+    last = F.least(first + block - 1, F.lit(total - 1))
     return (
         blocks.repartition(tasks, "segment", "block")
         .withColumn("candidate", F.explode(F.sequence(first, last)))

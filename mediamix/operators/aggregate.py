@@ -43,6 +43,8 @@ def aggregate_panel(df: DataFrame, keys: Sequence[str], catalog: Catalog) -> Dat
 def merge_metric_frames(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
     """Full outer merge of frames that are unique on ``keys``; null keys match.
 
+    A frame with two rows on one key is an error when the result is computed.
+
     A union and one grouped pick instead of a chain of outer joins: one shuffle for any
     number of frames.
     """
@@ -54,5 +56,13 @@ def merge_metric_frames(frames: Sequence[DataFrame], keys: Sequence[str]) -> Dat
         if twice:
             raise ValueError(f"frames share value columns {twice}")
         values += new
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    return stacked.groupBy(*keys).agg(*[F.max(c).alias(c) for c in values])
+    numbered = [frame.withColumn("__frame", F.lit(i)) for i, frame in enumerate(frames)]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), numbered)
+    merged = stacked.groupBy(*keys).agg(
+        *[F.max(c).alias(c) for c in values],
+        F.array(*[F.count_if(F.col("__frame") == i) for i in range(len(frames))]).alias("__rows"),
+    )
+    unique = F.when(F.array_max("__rows") <= 1, True).otherwise(
+        F.raise_error(F.lit(f"merge: a frame has several rows on one of {list(keys)}")).cast("boolean")
+    )
+    return merged.filter(unique).drop("__rows")

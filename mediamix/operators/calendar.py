@@ -97,7 +97,7 @@ def _filled(dated: DataFrame, grain: Grain, frequency: Frequency) -> DataFrame:
 
         distance = months(F.col("__following"), date) / step
         moved = F.add_months(first, months(date, first) + F.col("__place") * step)
-    places = F.sequence(F.lit(0), F.coalesce(distance.cast("int") - 1, F.lit(0)))
+    places = F.sequence(F.lit(0), F.greatest(F.coalesce(distance.cast("int") - 1, F.lit(0)), F.lit(0)))
     values = [c for c in dated.columns if c not in (*grain.columns, "__first")]
     return (
         dated.withColumn("__following", following)

@@ -11,6 +11,7 @@ from mediamix.catalog import NOT_A_METRIC, YES_NO, Catalog
 from mediamix.functions.scalars import flag_is_bad, flag_value
 from mediamix.grain import tidy
 from mediamix.operators.rules import FLAG_TYPES
+from mediamix.session import cut_lineage
 
 
 def non_negative_metrics(catalog: Catalog) -> list[str]:
@@ -97,8 +98,25 @@ def flag_violations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def repeated_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(columns, n_rows) of what more than one row has."""
+    return df.groupBy(*columns).agg(F.count("*").alias("n_rows")).filter("n_rows > 1")
+
+
+# Offending rows that an error message spells out.
+SHOWN = 20
+
+
 def raise_if_any(report: DataFrame, count: str, what: str) -> None:
-    """Fail with the first offending rows of a report; one job for the whole stage."""
-    bad = report.filter(F.col(count) > 0).limit(20).collect()
-    if bad:
-        raise ValueError(f"{what}: {[r.asDict() for r in bad]}")
+    """Fail with the number of offending rows of a report and the first of them.
+
+    If there are more, all of them stay readable in a table that the message names.
+    """
+    bad = report.filter(F.col(count) > 0)
+    first = bad.limit(SHOWN + 1).collect()
+    if not first:
+        return
+    if len(first) <= SHOWN:
+        raise ValueError(f"{what}: {[r.asDict() for r in first]}")
+    kept = cut_lineage(bad)
+    raise ValueError(f"{what}: {kept.count()} cases, all in {kept.inputFiles()[0].rpartition('/')[0]}; the first: {[r.asDict() for r in first[:SHOWN]]}")

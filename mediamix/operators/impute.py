@@ -24,7 +24,7 @@ def guarded_spend(spend: str, responses: list[str]) -> Column:
     filled = F.coalesce(F.col(spend), F.lit(0))
     for response in responses:
         clash = F.col(spend).isNull() & (F.col(response) > 0)
-        message = F.lit(f"spend '{spend}' is missing while response '{response}' > 0")
+        message = F.lit(f"{response} was measured in a period without a figure for {spend}")
         filled = F.when(clash, F.raise_error(message)).otherwise(filled)
     return filled
 

@@ -157,11 +157,20 @@ def _refined(
             for i in range(len(probabilities))
         ]
     )
-    done = join_on(direct, refined, keys, "left")
+    done = join_on(join_on(direct, refined, keys, "left"), bounds.select(*keys, "__bounds"), keys, "left")
+
+    def exact(name: str, i: int) -> Column:
+        """What the second pass found; nothing there is an error where the sketch gave a bracket."""
+        asked = F.exists("__bounds", lambda b: (b["__name"] == name) & (b["__i"] == i))
+        rough = F.col(quantile_column(name, i))
+        missing = F.coalesce(asked, F.lit(False)) & rough.isNotNull()
+        lost = F.raise_error(F.lit(f"quantile {i} of {name}: no value at its rank")).cast("double")
+        return F.coalesce(F.col(f"__r{i}_{name}"), F.when(missing, lost).otherwise(rough)).alias(quantile_column(name, i))
+
     return done.select(
         *keys,
         *[
-            F.coalesce(f"__r{i}_{name}", quantile_column(name, i)).alias(quantile_column(name, i))
+            exact(name, i)
             for name in columns
             for i in range(len(probabilities))
         ],

@@ -217,7 +217,7 @@ def candidate_registry(catalog: DataFrame, quality: DataFrame, **options) -> Dat
     controls = global_controls(catalog, quality).select(
         F.lit("global_control").alias("role"),
         nothing.alias("channel"),
-        (F.col("pos") + 1).cast("int").alias("rank"),
+        (F.col("pos") + 1).alias("rank"),
         "field_name",
         nothing.alias("tier"),
     )

@@ -22,6 +22,9 @@ class SearchOptions:
     min_candidates: int = pareto.MIN_CANDIDATES
     min_k: int = cluster.MIN_K
     max_k: int = cluster.MAX_K
+    reach: float = budget.REACH
+    frequency: str = "weekly"
+    week_label: str = "iso_minus_1"
 
 
 @dataclass(frozen=True)
@@ -39,13 +42,14 @@ class Selection:
     scenarios: DataFrame
 
 
-def with_time_features(panel: DataFrame, holidays: DataFrame, spec: ModelSpec) -> tuple[DataFrame, ModelSpec]:
+def with_time_features(panel: DataFrame, holidays: DataFrame, spec: ModelSpec, options: SearchOptions = SearchOptions()) -> tuple[DataFrame, ModelSpec]:
     """Panel and specification with trend, season and holidays as context.
 
     Holidays may only add; the season, as a sine and a cosine, is free.
     """
     signs = {"trend": "default", "season_sin": "default", "season_cos": "default", "holiday": "positive"}
-    return features.time_features(panel, holidays), replace(spec, context=(*spec.context, *signs.items()))
+    timed = features.time_features(panel, holidays, frequency=options.frequency, week_label=options.week_label)
+    return timed, replace(spec, context=(*spec.context, *signs.items()))
 
 
 def candidate_params(solutions: DataFrame, channels: Sequence[str]) -> DataFrame:
@@ -99,7 +103,7 @@ def select_models(
     """
     controls = [c for c, _ in spec.context]
     if holidays is not None:
-        panel, spec = with_time_features(panel, holidays, spec)
+        panel, spec = with_time_features(panel, holidays, spec, options)
     panel = cut_lineage(panel)
     fits = cut_lineage(search.search_candidates(panel, spec, options.trials, options.iterations, options.ridge))
     front = pareto.pareto_fronts(fits, options.fronts, options.min_candidates)
@@ -127,7 +131,7 @@ def select_models(
     used = exposure_fit.mm_use_flag(exposure_fit.mm_fit(media))
     extracted = score.winner_params(best, solutions, params, channels, used)
     best_rows = rows.join(best, decompose.KEYS, "left_semi")
-    curves = cut_lineage(budget.response_curves(curve_params(params, best_rows, spec)))
+    curves = cut_lineage(budget.response_curves(curve_params(params, best_rows, spec), reach=options.reach))
     return Selection(
         fits=fits,
         solutions=solutions,

@@ -35,6 +35,12 @@ def exposures_of(registry: DataFrame) -> list[tuple[str, str]]:
 
 
 def premodel(panel: DataFrame, registry: DataFrame, grain: Grain, absolute: bool = False) -> ModelReady:
+    """Registry with the best exposure of each channel, and the panel a model reads.
+
+    Entries whose column the panel lacks are left out first, channels that lose their
+    spend or exposure with them.
+    """
+    registry = registry.filter(F.col("field_name").isin(panel.columns))
     correlations = conform.exposure_correlations(panel, exposures_of(registry), target_of(registry), absolute)
     correlations = cut_lineage(correlations)
     chosen = cut_lineage(conform.with_best_exposures(registry, conform.best_exposures(correlations)))

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from mediamix.catalog import Catalog, extend_catalog
+from mediamix.catalog import Catalog, extend_catalog, present_metrics
 from mediamix.functions.frequency import Frequency, parse_frequency
 from mediamix.grain import Grain
 from mediamix.operators import checks, funnel, signals
@@ -56,12 +56,16 @@ def weekly_panel(raw: DataFrame, grain: Grain, plan: Catalog, options: Options =
 def preprocess(raw: DataFrame, catalog: DataFrame, grain: Grain, options: Options = Options()) -> Prepared:
     """Run the stage with its checks.
 
-    Checks are one aggregate each; the weekly panel, which the null audit, the quality
+    Metrics of the catalogue that the data lacks take no part. Checks are one aggregate
+    each; the weekly panel, which the null audit, the quality
     statistics and the sinks read, is written once to the checkpoint folder.
     """
     parse_frequency(options.end)
     named = normalize_columns(raw)
+    catalog = present_metrics(catalog, named.columns)
     plan = plan_catalog(catalog, named.columns)
+    if grain.unique:
+        checks.raise_if_any(checks.repeated_rows(parse_dates(named, grain.date), grain.columns), "n_rows", "not unique on the grain")
     flags = checks.flag_columns(named, plan)
     if flags:
         checks.raise_if_any(checks.flag_violations(named, flags), "n_rows", "bad flag values")

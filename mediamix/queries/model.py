@@ -76,7 +76,10 @@ def fits(spark: SparkSession, d: str) -> DataFrame:
 
 
 def measures(spark: SparkSession, d: str) -> DataFrame:
-    return score.measure_solutions(fits(spark, d), channels(spark, d), star.solution_weekly(spark, d), PRIORITIES)
+    """Measures of all solutions, written once; their sources are read once each."""
+    parts, weekly = cut_lineage(star.solution_channels(spark, d)), cut_lineage(star.solution_weekly(spark, d))
+    shared = decompose.with_shares(parts)
+    return cut_lineage(score.measure_solutions(decompose.fit_metrics(weekly, shared), shared, weekly, PRIORITIES))
 
 
 def order_points(spark: SparkSession, d: str) -> DataFrame:
@@ -120,23 +123,16 @@ def candidate_fits(spark: SparkSession, d: str) -> DataFrame:
     return search.search_candidates(cut_lineage(panel), spec, trials=2, iterations=10)
 
 
-_selections: dict[tuple[str, str], Selection] = {}
-
-
 def selection(spark: SparkSession, d: str) -> Selection:
-    """One search shared by the queries that read it; its frames are written tables."""
-    known = (spark.sparkContext.applicationId, d)
-    if known not in _selections:
-        panel, spec = panel_spec(spark, d)
-        panel = cut_lineage(panel)
-        options = SearchOptions(trials=2, iterations=10, min_candidates=6)
-        _selections[known] = select_models(panel, spec, features.media_long(panel, MEDIA), options=options)
-    return _selections[known]
+    panel, spec = panel_spec(spark, d)
+    panel = cut_lineage(panel)
+    options = SearchOptions(trials=2, iterations=10, min_candidates=6)
+    return select_models(panel, spec, features.media_long(panel, MEDIA), options=options)
 
 
 def clustered(spark: SparkSession, d: str) -> DataFrame:
     points = cut_lineage(measures(spark, d).join(fits(spark, d).select("segment", "sol_id", "mape"), ["segment", "sol_id"]))
-    return cluster.cluster_solutions(points, ["roas", "roas_cv", "carryover_pct", "max_share_delta"], rounds=6)
+    return cluster.cluster_solutions(points, ["roas", "roas_cv", "carryover_pct", "max_share_delta"])
 
 
 _grid_columns = {
@@ -190,7 +186,7 @@ FRONTS_SQL = (
     + " UNION ALL ".join(f"SELECT *, CAST({i} AS INTEGER) AS front FROM f{i}" for i in (1, 2, 3))
 )
 _g = "CASE WHEN spend=0 THEN 0 ELSE spend/(mean_spend*step + spend) END"
-_points_n = 20
+_points_n = exposure_fit.GRID
 MM_SQL = _on_media(
     "SELECT segment, channel, mean_spend, vmax, km, rsq_nls, sxy/sxx AS coef_lm, 1-(syy-sxy/sxx*sxy)/tss AS rsq_lm FROM "
     "(SELECT *, ROW_NUMBER() OVER (PARTITION BY segment, channel ORDER BY rsq_nls DESC NULLS LAST, point) AS rn FROM "
@@ -263,12 +259,12 @@ Q["model_scores"] = lambda s, d: rounded(score.model_scores(measures(s, d)).sele
 S["model_scores"] = rounded_sql(sql("SELECT * FROM scores", "scores"), ["score"], 6)
 Q["model_notes"] = lambda s, d: score.model_scores(measures(s, d)).select("segment", "sol_id", "notes", "eliminated_peers")
 S["model_notes"] = sql(
-    """SELECT v.segment, v.sol_id, concat_ws(' | ', CASE WHEN roas<1 THEN 'Blended ROAS=' || printf('%.2f', roas) || ' (<1)' END,
-CASE WHEN low IS NOT NULL THEN 'Very low ROAS (<0.3): [' || low || ']' END,
-CASE WHEN media_contribution_pct<0.15 THEN 'Media explains only ' || printf('%.0f%%', media_contribution_pct*100) || ' of revenue' END,
-CASE WHEN max_channel_effect_share>0.5 THEN 'Channel dominance: ' || top || ' (' || printf('%.0f%%', max_channel_effect_share*100) || ')' END,
-CASE WHEN carryover_pct>0.6 THEN 'High carryover (' || printf('%.0f%%', carryover_pct*100) || ')' END,
-CASE WHEN rsq_train>0.95 THEN 'R²=' || printf('%.3f', rsq_train) || ' — check overfit' END) AS notes, COALESCE(peers, 'none') AS eliminated_peers
+    """SELECT v.segment, v.sol_id, concat_ws(' | ', CASE WHEN roas<1 THEN 'return ' || printf('%.2f', roas) || ' is under 1' END,
+CASE WHEN low IS NOT NULL THEN 'weak channels (return under 0.3): ' || low END,
+CASE WHEN media_contribution_pct<0.15 THEN 'small media part: ' || printf('%.0f%%', media_contribution_pct*100) END,
+CASE WHEN max_channel_effect_share>0.5 THEN top || ' has ' || printf('%.0f%%', max_channel_effect_share*100) || ' of the effect' END,
+CASE WHEN carryover_pct>0.6 THEN 'carried over: ' || printf('%.0f%%', carryover_pct*100) END,
+CASE WHEN rsq_train>0.95 THEN 'may overfit, r2 ' || printf('%.3f', rsq_train) END) AS notes, COALESCE(peers, 'none') AS eliminated_peers
 FROM viability v JOIN (SELECT segment, sol_id, string_agg(CASE WHEN roi_total<0.3 THEN channel END, ', ' ORDER BY channel) AS low, arg_max(channel, effect_share) AS top FROM channels GROUP BY 1,2) c USING (segment, sol_id)
 LEFT JOIN (SELECT segment, string_agg(sol_id, ', ' ORDER BY sol_id) AS peers FROM viability WHERE disqualified GROUP BY 1) p ON p.segment=v.segment WHERE viable""",
     "viability",

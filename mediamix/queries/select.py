@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mediamix.catalog import extend_catalog
+from mediamix.catalog import catalog_frame, extend_catalog
 from mediamix.operators import conform, funnel, signals
 from mediamix.operators.priorities import GLOBAL_RESPONSE, PRIORITIES, keywords, matching_key
 from mediamix.operators.rules import primary_exposures
-from mediamix.plans.preprocess import weekly_panel
+from mediamix.plans.preprocess import Options, preprocess, weekly_panel
 from mediamix.queries.prepare import GRAIN, plan, rounded
 from mediamix.queries.sqltext import FLAG, IMPRESSIONS, MACRO, METRICS, PREFIXES, PRICE, SPENDS, rounded_sql, sql
 from mediamix.session import cut_lineage
@@ -48,6 +48,15 @@ def registry(spark: SparkSession, d: str) -> DataFrame:
     return signals.candidate_registry(extended(spark), quality(spark, d))
 
 
+def stage_registry(spark: SparkSession, d: str) -> DataFrame:
+    """Registry of the whole first stage, under a catalogue that is wider than the data."""
+    catalog = star.panel_catalog(spark)
+    last = catalog.agg(F.max("pos")).collect()[0][0]
+    more = [("radio_spend", "absolute", "spend", "radio", "no"), ("radio_grp", "rate", "response", "radio", "no"), ("tv_reach", "absolute", "response", "tv", "no")]
+    wide = catalog.unionByName(catalog_frame(spark, more).withColumn("pos", F.col("pos") + last + 1))
+    return preprocess(star.panel_daily(spark, d), wide, GRAIN, Options(macro_edge="hold")).registry
+
+
 def correlations(spark: SparkSession, d: str) -> DataFrame:
     candidates = [(c, f"{ch}_{m}") for _, c, ch in star.CHANNELS for m in ("impressions", "clicks")]
     return cut_lineage(conform.exposure_correlations(weekly(spark, d), candidates, "sales_revenue"))
@@ -246,8 +255,10 @@ S["channel_candidates_sparse"] = candidates_sql(SPARSE_SQL, _fields)
 Q["candidate_registry"] = registry
 S["candidate_registry"] = (
     f"SELECT * FROM ({S['channel_candidates']}) UNION ALL SELECT 'global_response', NULL, rank, field_name, NULL FROM ({GLOBAL_SQL}) "
-    f"UNION ALL SELECT 'global_control', NULL, CAST(pos+1 AS INTEGER), field_name, NULL FROM ({CONTROLS_SQL})"
+    f"UNION ALL SELECT 'global_control', NULL, CAST(pos+1 AS BIGINT), field_name, NULL FROM ({CONTROLS_SQL})"
 )
+Q["stage_registry"] = stage_registry
+S["stage_registry"] = S["candidate_registry"]
 Q["registry_document"] = lambda s, d: signals.nested_registry(registry(s, d)).select(F.to_json(F.struct("*")).alias("document"))
 Q["exposure_correlation"] = lambda s, d: rounded(correlations(s, d))
 S["exposure_correlation"] = rounded_sql(CORR_SQL, ["corr"])

@@ -1,6 +1,6 @@
 """Registered queries against their reference SQL.
 
-A representative part runs by default; MEDIAMIX_ALL=1 runs every query.
+All queries with SQL run; MEDIAMIX_PART=1 runs a representative part.
 """
 
 import os
@@ -17,7 +17,7 @@ PART = (
     "outlier_treatment forward_fill_rows interpolate_linear rate_fill weekly_panel merge_metric_frames resolve_weights "
     "funnel_pairs channel_priority keyword_rank channel_candidates_sparse adstock_geometric pareto_fronts mm_fit model_scores"
 )
-NAMES = sorted(SQL) if os.environ.get("MEDIAMIX_ALL") else PART.split()
+NAMES = PART.split() if os.environ.get("MEDIAMIX_PART") else sorted(SQL)
 
 
 @pytest.fixture(scope="module")
