@@ -161,7 +161,7 @@ def test_spend_gap_with_response_fails_only_when_guarded(spark):
     df = spark.createDataFrame([("a", day(0), None, 3.0, None), ("a", day(1), 0.0, 1.0, None)], "k string, date date, s double, r double, p double")
     report = {(r["kind"], r["response"]): r["n_rows"] for r in checks.spend_response_conflicts(df, checks.spend_response_pairs(plan)).collect()}
     assert report == {("warning", "r"): 1, ("error", "r"): 1}
-    with pytest.raises(Exception, match="missing while response"):
+    with pytest.raises(Exception, match="was measured in a period without a figure"):
         impute.impute(df, UNIQUE, plan).collect()
     assert values(impute.impute(df, UNIQUE, plan, guard=False).orderBy("date"), "s", "r", "p") == [(0.0, 3.0, 0.0), (0.0, 1.0, 0.0)]
 
