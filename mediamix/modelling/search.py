@@ -9,10 +9,9 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from itertools import combinations_with_replacement
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -193,134 +192,123 @@ def saturated_rows(candidates: DataFrame, spec: ModelSpec) -> DataFrame:
     ).drop(*ranges)
 
 
-def all_candidates(panel: DataFrame, spec: ModelSpec, trials: int, iterations: int) -> DataFrame:
-    """(segment, candidate) with the segment's arrays.
+def candidate_blocks(panel: DataFrame, spec: ModelSpec, trials: int, iterations: int) -> DataFrame:
+    """(segment, first, last, arrays): a segment's series once for each block of candidates.
 
-    Blocks of candidates are spread first and unfolded after the shuffle, so one segment
-    is searched by many tasks and its series is copied once per block.
+    Blocks are spread over the tasks, so one segment is searched by many of them; with many
+    segments a segment is one block.
     """
     total = trials * iterations
     # an explicit number keeps AQE from merging the few wide rows into one task
     tasks = int(panel.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     segments = panel.select("segment").distinct().count()
-    # a few blocks a task: many for few segments, one a segment when there are many
     block = max(1, -(-total // max(1, -(-BLOCKS_PER_TASK * tasks // max(1, segments)))))
-    series = segment_series(panel, spec).select("segment", *[c.alias(n) for n, c in _arrays(spec).items()])
+    arrays = {n: c for n, c in _arrays(spec).items() if n != "date"}
+    series = segment_series(panel, spec).select("segment", *[c.alias(n) for n, c in arrays.items()])
     blocks = series.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit((total - 1) // block))))
-    first = F.col("block") * block
-    last = F.least(first + block - 1, F.lit(total - 1))
-    return (
-        blocks.repartition(tasks, "segment", "block")
-        .withColumn("candidate", F.explode(F.sequence(first, last)))
-        .drop("block")
+    first = (F.col("block") * block).cast("int")
+    return blocks.repartition(tasks, "segment", "block").select(
+        "segment", first.alias("first"), F.least(first + block, F.lit(total)).cast("int").alias("last"), *arrays
     )
 
 
-def candidate_moments(rows: DataFrame, spec: ModelSpec) -> DataFrame:
-    """Sums and cross products per (segment, candidate): all a linear fit needs.
+FITS = "segment string, candidate int, rsq_train double, nrmse double, decomp_rssd double, intercept double, coef array<double>"
+# Candidates whose series are in memory at a time, and that are solved at a time.
+CHUNK, SOLVED = 64, 1024
+# Sweeps after which a fit that still moves is an error.
+SWEEPS = 100_000
 
-    The rows of a candidate come from one task, so the partial aggregate already reduces
-    them to one row before the shuffle.
-    """
-    features = [*[f"x_{i}" for i in range(len(spec.media))], *[f"ctx_{i}" for i in range(len(spec.context))]]
-    pairs = list(combinations_with_replacement(features, 2))
-    sums = {
-        "sum_x": [F.sum(f) for f in features],
-        "sum_xy": [F.sum(F.col(f) * F.col("y")) for f in features],
-        "sum_xx": [F.sum(F.col(a) * F.col(b)) for a, b in pairs],
-        "sum_spend": [F.sum(f"spend_{i}") for i in range(len(spec.media))],
-    }
-    return rows.groupBy("segment", "candidate").agg(
-        F.count("*").cast("double").alias("n"),
-        F.sum("y").alias("sum_y"),
-        F.sum(F.col("y") * F.col("y")).alias("sum_yy"),
-        (F.max("y") - F.min("y")).alias("range_y"),
-        *[F.array(*columns).alias(name) for name, columns in sums.items()],
-    )
 
+def _fitter(spec: ModelSpec, ridge: float):
+    """Function from Arrow batches of ``candidate_blocks`` to batches of fits.
 
-def _solver(spec: ModelSpec, ridge: float):
-    # helpers are local so that workers need numpy and pandas but not this package
-    signs = ["positive"] * len(spec.media) + [s for _, s in spec.context]
+    Helpers are local so that workers need numpy and pyarrow but not this package.
+    """
+    n_media, n_context, chunk, solved, most_sweeps = len(spec.media), len(spec.context), CHUNK, SOLVED, SWEEPS
+    signs = ["positive"] * n_media + [s for _, s in spec.context]
     low = np.array([0.0 if s == "positive" else -np.inf for s in signs])
     high = np.array([0.0 if s == "negative" else np.inf for s in signs])
-    k = len(signs)
-    upper = np.triu_indices(k)
+    steps = {name: np.array([_irrational(3 * i + place) for i in range(n_media)]) for place, name in enumerate(BOUNDS)}
+    bounds = dict(BOUNDS)
+
+    def saturated(numbers: np.ndarray, spend: np.ndarray) -> np.ndarray:
+        """Saturated carryover (candidates, media, periods) of the candidates ``numbers``."""
+        point = {name: np.outer(numbers + 1.0, step) for name, step in steps.items()}
+        theta, alpha, gamma = (bounds[p][0] + (bounds[p][1] - bounds[p][0]) * (point[p] - np.floor(point[p])) for p in bounds)
+        carried = np.empty((len(numbers), *spend.shape))
+        before = np.zeros((len(numbers), n_media))
+        for t in range(spend.shape[1]):
+            before = spend[:, t] + theta * before
+            carried[:, :, t] = before
+        least, most = carried.min(2), carried.max(2)
+        top = carried ** alpha[:, :, None]
+        whole = top + ((least + gamma * (most - least)) ** alpha)[:, :, None]
+        return np.divide(top, whole, out=np.zeros_like(top), where=whole > 0)
 
     def bounded_ridge(gram: np.ndarray, target: np.ndarray) -> np.ndarray:
-        """Coordinate descent for many small ridge problems at once, within the bounds."""
-        beta = np.zeros_like(target)
-        for _ in range(500):
+        """Coordinate descent for many small ridge problems at once, within the bounds.
+
+        Those that no longer move are done; one that never stops is an error.
+        """
+        out = np.zeros_like(target)
+        beta, open_ = out.copy(), np.arange(len(target))
+        for _ in range(most_sweeps):
             before = beta.copy()
             for j in range(target.shape[1]):
                 rest = target[:, j] - np.einsum("bk,bk->b", gram[:, j, :], beta) + gram[:, j, j] * beta[:, j]
                 beta[:, j] = np.clip(rest / (gram[:, j, j] + ridge), low[j], high[j])
-            if np.abs(beta - before).max(initial=0.0) < 1e-10:
-                break
-        return beta
-
-    @F.pandas_udf("coef array<double>, intercept double, rss double, tss double")
-    def solve(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
-        for n, sum_y, sum_yy, sum_x, sum_xy, sum_xx in batches:
-            count, y_mean = n.to_numpy(), sum_y.to_numpy() / n.to_numpy()
-            x_mean = np.stack(sum_x.to_numpy()) / count[:, None]
-            full = np.zeros((len(count), k, k))
-            full[:, upper[0], upper[1]] = np.stack(sum_xx.to_numpy()) / count[:, None]
-            full[:, upper[1], upper[0]] = full[:, upper[0], upper[1]]
-            cov = full - x_mean[:, :, None] * x_mean[:, None, :]
-            cross = np.stack(sum_xy.to_numpy()) / count[:, None] - x_mean * y_mean[:, None]
-            var_y = np.maximum(sum_yy.to_numpy() / count - y_mean**2, 0.0)
-            std = np.sqrt(np.maximum(np.einsum("bkk->bk", cov), 0.0))
-            scale = np.where(std > 1e-12 * (1 + np.abs(x_mean)), std, np.inf)
-            std_y = np.sqrt(np.where(var_y > 0, var_y, 1.0))
-            beta = bounded_ridge(
-                cov / (scale[:, :, None] * scale[:, None, :]), cross / (scale * std_y[:, None])
-            )
-            coef = beta * std_y[:, None] / scale
-            rss = var_y - 2 * (coef * cross).sum(1) + np.einsum("bj,bjk,bk->b", coef, cov, coef)
-            yield pd.DataFrame(
-                {
-                    "coef": list(coef),
-                    "intercept": y_mean - (coef * x_mean).sum(1),
-                    "rss": np.maximum(rss, 0.0) * count,
-                    "tss": var_y * count,
-                }
-            )
-
-    return solve
-
-
-def share_distance(effects: Column, spends: Column) -> Column:
-    """Root of the summed squared differences of effect and spend shares."""
-
-    def total(values: Column) -> Column:
-        return F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v)
-
-    def share(v: Column, whole: Column) -> Column:
-        return F.coalesce(F.try_divide(v, whole), F.lit(0.0))
-
-    gaps = F.zip_with(effects, spends, lambda e, s: F.pow(share(e, total(effects)) - share(s, total(spends)), 2))
-    return F.sqrt(total(gaps))
-
-
-def fit_moments(moments: DataFrame, spec: ModelSpec, ridge: float = 0.01) -> DataFrame:
-    """Sign-constrained ridge fit of each candidate and its fit metrics.
-
-    Media coefficients are not negative, context signs are the spec's.  Python sees a few
-    dozen numbers per candidate, in Arrow batches.
-    """
-    solved = moments.withColumn(
-        "fit", _solver(spec, ridge)("n", "sum_y", "sum_yy", "sum_x", "sum_xy", "sum_xx")
-    ).select("*", "fit.*")
-    media = len(spec.media)
-    effects = F.zip_with(F.slice("coef", 1, media), F.slice("sum_x", 1, media), lambda c, s: c * s)
-    return solved.withColumns(
-        {
-            "rsq_train": F.coalesce(1 - F.try_divide("rss", "tss"), F.lit(0.0)),
-            "nrmse": F.try_divide(F.sqrt(F.col("rss") / F.col("n")), "range_y"),
-            "decomp_rssd": share_distance(effects, F.col("sum_spend")),
-        }
-    ).select("segment", "candidate", "rsq_train", "nrmse", "decomp_rssd", "intercept", "coef")
+            still = np.abs(beta - before).max(1, initial=0.0) >= 1e-10
+            if not still.all():
+                out[open_[~still]] = beta[~still]
+                beta, gram, target, open_ = beta[still], gram[still], target[still], open_[still]
+                if not len(open_):
+                    return out
+        raise ValueError(f"{len(open_)} fits still move after {most_sweeps} sweeps")
+
+    def shares(values: np.ndarray) -> np.ndarray:
+        total = values.sum(1, keepdims=True)
+        return np.divide(values, total, out=np.zeros_like(values), where=total != 0)
+
+    def fits(segment: str, first: int, last: int, y: np.ndarray, context: np.ndarray, spend: np.ndarray) -> list[tuple]:
+        numbers, periods, k = np.arange(first, last), len(y), n_media + n_context
+        mean, cov, cross = np.empty((last - first, k)), np.empty((last - first, k, k)), np.empty((last - first, k))
+        centred_y = y - y.mean()
+        for at in range(0, last - first, chunk):
+            x = saturated(numbers[at : at + chunk], spend)
+            x = np.concatenate([x, np.broadcast_to(context, (len(x), *context.shape))], axis=1)
+            mean[at : at + chunk] = x.mean(2)
+            x = x - x.mean(2, keepdims=True)
+            cov[at : at + chunk] = x @ x.transpose(0, 2, 1) / periods
+            cross[at : at + chunk] = x @ centred_y / periods
+        var_y = float((centred_y**2).mean())
+        std_y = np.sqrt(var_y) if var_y > 0 else 1.0
+        std = np.sqrt(np.einsum("bkk->bk", cov))
+        scale = np.where(std > 1e-12 * (1 + np.abs(mean)), std, np.inf)
+        beta = bounded_ridge(cov / (scale[:, :, None] * scale[:, None, :]), cross / (scale * std_y))
+        coef = beta * std_y / scale
+        rss = np.maximum(var_y - 2 * (coef * cross).sum(1) + np.einsum("bj,bjk,bk->b", coef, cov, coef), 0.0) * periods
+        tss, range_y = var_y * periods, float(y.max() - y.min())
+        effect = shares(coef[:, :n_media] * mean[:, :n_media] * periods)
+        spent = shares(np.broadcast_to(spend.sum(1), (1, n_media)).astype(float))
+        distance = np.sqrt(((effect - spent) ** 2).sum(1))
+        rsq = 1 - rss / tss if tss else np.zeros(len(rss))
+        error = (np.sqrt(rss / periods) / range_y).tolist() if range_y else [None] * len(rss)
+        intercept = y.mean() - (coef * mean).sum(1)
+        return list(zip([segment] * len(rss), numbers.tolist(), rsq.tolist(), error, distance.tolist(), intercept.tolist(), coef.tolist()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["segment", "candidate", "rsq_train", "nrmse", "decomp_rssd", "intercept", "coef"]
+        types = [pa.string(), pa.int32(), pa.float64(), pa.float64(), pa.float64(), pa.float64(), pa.list_(pa.float64())]
+        for batch in batches:
+            for row in batch.to_pylist():
+                y = np.array(row["y"], float)
+                context = np.array([row[f"ctx_{i}"] for i in range(n_context)], float).reshape(n_context, len(y))
+                spend = np.array([row[f"spend_{i}"] for i in range(n_media)], float).reshape(n_media, len(y))
+                for at in range(row["first"], row["last"], solved):
+                    rows = fits(row["segment"], at, min(at + solved, row["last"]), y, context, spend)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+
+    return run
 
 
 def search_candidates(
@@ -330,11 +318,12 @@ def search_candidates(
     iterations: int = ITERATIONS,
     ridge: float = 0.01,
 ) -> DataFrame:
-    """(segment, sol_id, candidate, rsq_train, nrmse, decomp_rssd, intercept, coef).
+    """(segment, candidate, rsq_train, nrmse, decomp_rssd, intercept, coef, sol_id).
 
-    Every (segment, candidate) pair is generated, fitted and reduced to one row where it
-    is generated; weekly rows of losers are never kept.
+    Sign-constrained ridge fits: media coefficients are not negative, context signs are the
+    spec's. Every (segment, candidate) is generated, fitted and reduced to one row inside
+    the task that holds its block; moments are taken about the mean, in numpy on bounded
+    chunks, and weekly rows of candidates are never made.
     """
-    rows = saturated_rows(all_candidates(panel, spec, trials, iterations), spec)
-    fits = fit_moments(candidate_moments(rows, spec), spec, ridge)
+    fits = candidate_blocks(panel, spec, trials, iterations).mapInArrow(_fitter(spec, ridge), FITS)
     return fits.withColumn("sol_id", solution_id(F.col("candidate"), iterations))
