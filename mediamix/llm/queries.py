@@ -87,3 +87,39 @@ def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     path = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))
     return licenses.scan(docs.select("doc_id", "text", path.alias("path")))
+
+
+S["op6_chat"] = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT * FROM (VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]'))
+), sized AS (
+  SELECT *, len(regexp_extract_all(text, '\\|<\||</?s>|\[/?INST\]|<</?SYS>>')) AS escapes FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(12 + length(role) + 1 + length(text) + escapes + 11) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
+S["op10_minhash"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM documents
+), listed AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [w] ELSE list_transform(range(1, len(w) - 3), lambda i: w[i:i + 4]) END AS s FROM words
+), shingles AS MATERIALIZED (
+  SELECT DISTINCT doc_id, hash(x) AS h FROM (SELECT doc_id, unnest(s) AS x FROM listed)
+), sizes AS MATERIALIZED (
+  SELECT d.doc_id, count(h) AS n FROM documents d LEFT JOIN shingles s ON s.doc_id = d.doc_id GROUP BY 1
+), links AS MATERIALIZED (
+  SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM shingles x JOIN shingles y ON x.h = y.h AND x.doc_id <> y.doc_id GROUP BY 1, 2) p
+  JOIN sizes s ON s.doc_id = a JOIN sizes t ON t.doc_id = b WHERE 100 * p.n >= 85 * (s.n + t.n - p.n)
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b
+), roots AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY 1)
+SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept FROM sizes JOIN roots USING (doc_id)
+"""
