@@ -216,8 +216,8 @@ S["time_features"] = rounded_sql(
     ),
     ["sales_qty", "trend", "season_sin", "season_cos", "holiday"],
 )
-Q["candidate_grid"] = lambda s, d: rounded(search.candidate_grid(all_segments(s, d), CHANNELS), 8)
-S["candidate_grid"] = rounded_sql(_on_media(_grid_sql(search.TRIALS, search.ITERATIONS)), list(BOUNDS), 8)
+Q["candidate_grid"] = lambda s, d: rounded(search.candidate_grid(all_segments(s, d), CHANNELS, iterations=100), 8)
+S["candidate_grid"] = rounded_sql(_on_media(_grid_sql(search.TRIALS, 100)), list(BOUNDS), 8)
 Q["adstock_geometric"] = lambda s, d: rounded(carried(s, d).select("segment", "sol_id", "channel", "date", "spend", "adstocked"), 3)
 S["adstock_geometric"] = rounded_sql(_on_media("SELECT segment, sol_id, channel, date, spend, adstocked FROM carried", _carried), ["spend", "adstocked"], 3)
 Q["hill_saturation"] = lambda s, d: rounded(saturated(s, d).select("segment", "sol_id", "channel", "date", "x"), 6)
