@@ -39,8 +39,8 @@ def metric_quality(df: DataFrame, metrics: Sequence[str]) -> DataFrame:
             c.alias(f"{name}_{m}")
             for m in metrics
             for name, c in {
-                "null": F.avg(F.col(m).isNull().cast("double")),
-                "nonzero": F.avg((F.col(m) != 0).cast("double")),
+                "null": F.try_divide(F.count_if(F.col(m).isNull()), F.count("*")),
+                "nonzero": F.try_divide(F.count_if(F.col(m) != 0), F.count(m)),
                 "mean": F.avg(F.col(m).cast("double")),
                 "std": F.stddev_samp(F.col(m).cast("double")),
             }.items()
