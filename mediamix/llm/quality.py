@@ -2,7 +2,8 @@
 
 The histogram of character classes and the histogram of common words of a document are
 compared with those of its language, by Jensen-Shannon distance. The language references
-are means over all documents of the corpus that name the language.
+are means over all documents of the corpus that name the language. A document of no known
+language is compared with every language, one of a rare language with its own, too.
 """
 
 from __future__ import annotations
@@ -107,13 +108,13 @@ class Measured:
         return len(self.words), n_chars - space, symbols, len(lines) - len(set(lines)), self.repeated()
 
 
-def distance(counts: np.ndarray, reference: np.ndarray) -> float:
-    """Jensen-Shannon distance (base 2) of the shares of ``counts`` and ``reference``."""
-    p, q = counts / counts.sum(), reference / reference.sum()
+def distance(counts: np.ndarray, reference: np.ndarray) -> np.ndarray:
+    """Jensen-Shannon distance (base 2) of the shares of ``counts`` and ``reference``, or each row of it."""
+    p, q = counts / counts.sum(), reference / reference.sum(-1, keepdims=True)
     m = (p + q) / 2
     with np.errstate(divide="ignore", invalid="ignore"):
-        parts = [np.where(x > 0, x * np.log2(x / m), 0).sum() for x in (p, q)]
-    return float(np.sqrt(max(0.0, sum(parts) / 2)))
+        parts = [np.where(x > 0, x * np.log2(x / m), 0).sum(-1) for x in (p, q)]
+    return np.sqrt(np.maximum(0.0, sum(parts) / 2))
 
 
 def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
@@ -152,8 +153,9 @@ FIELDS = (
 #: Distances beyond which a document is rejected. The histogram of n words strays from
 #: its language's by chance as 1 / sqrt(n), so each bound is a + b / sqrt(n).
 MOST_CHAR, MOST_WORD = (0.15, 1.0), (0.14, 1.75)
-#: Documents that a language needs for a reference of its own.
-LEAST_DOCS = 20
+#: Documents that a language needs for a reference under these bounds; that of fewer, n,
+#: strays and may be half of junk, so its bounds are wider by RARE / sqrt(n).
+LEAST_DOCS, RARE = 20, 0.5
 
 
 def judge(docs: DataFrame, text: str = "text", lang: str = "lang", keep: list[str] | None = None, name: str = "quality", most_char: tuple[float, float] = MOST_CHAR, most_word: tuple[float, float] = MOST_WORD) -> DataFrame:
@@ -165,41 +167,60 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", keep: list[st
     reference, or from its blend with the reference over all documents where that is nearer
     (as for texts that quote another language); ``kept``: not ``base_failed``, and both distances within their bounds.
     Documents under the minimum length have no distances (null) and are never kept. A null
-    text has no words. Documents of a null language, or of one with too few documents, are
-    compared with the reference over all. Every row is judged alone, repeated rows alike;
-    other columns pass through. An empty table gives an empty result.
+    text has no words. Every row is judged alone, repeated rows alike; other columns pass
+    through. An empty table gives an empty result.
+
+    A document of a language with under ``LEAST_DOCS`` long documents is kept within wider
+    bounds of its language's mean, or within the usual bounds of any other language. One of
+    a null language is kept within the bounds of any language; its distances shown are from
+    the reference over all, by which nothing is rejected, as no language is near a mixture.
+    Where no language has a reference, only ``base_failed`` decides on a null language.
+    References of the languages with enough documents, a row each, go to all tasks.
     """
     found = cut_lineage(references(docs, text, lang))
-    own = apart(docs, found.where(f"lang IS NOT NULL AND n_docs >= {LEAST_DOCS}").select("lang", "shares"))
+    own = apart(docs, found.where("lang IS NOT NULL").select("lang", "shares", "n_docs"))
     row = found.where("lang IS NULL").select("shares").collect()  # one row of fixed width
     every = np.array(row[0][0]) if row else None  # none: no document is long enough to be compared
+    known = np.array([r.shares for r in found.where(f"lang IS NOT NULL AND n_docs >= {LEAST_DOCS}").orderBy("lang").select("shares").collect()])
     keep = docs.columns if keep is None else keep
     joined = docs.join(own, F.col(lang) == F.col(own.columns[0]), "left")
 
     def make():
-        def nearest(counts: np.ndarray, own: np.ndarray, every: np.ndarray) -> float:
-            return min(distance(counts, own), distance(counts, own + every))
+        def nearest(counts: np.ndarray, own: np.ndarray, every: np.ndarray) -> np.ndarray:
+            return np.minimum(distance(counts, own), distance(counts, own + every))
 
-        def run(texts: list[str], shares: list[list[float]]) -> list[tuple]:
+        def run(texts: list[str], shares: list[list[float]], sizes: list[int]) -> list[tuple]:
             rows = []
-            for t, reference in zip(texts, shares):
+            for t, reference, size in zip(texts, shares, sizes):
                 measured = Measured(t)
                 base = measured.base()
                 failed = base[0] < LEAST_WORDS or 100 * base[4] > 50 * base[0]
                 chars = words = None
                 kept = not failed
                 if base[0] >= LEAST_WORDS:
-                    own = every if reference is None else np.array(reference)
-                    chars = nearest(measured.chars, own[:N_CLASSES], every[:N_CLASSES])
-                    words = nearest(measured.common(), own[N_CLASSES:], every[N_CLASSES:])
-                    bounds = (a + b / np.sqrt(base[0]) for a, b in (most_char, most_word))
-                    kept = kept and all(x <= bound for x, bound in zip((chars, words), bounds))
+                    counts = measured.chars, measured.common()
+                    bounds = [a + b / np.sqrt(base[0]) for a, b in (most_char, most_word)]
+
+                    def distances(own: np.ndarray) -> list[np.ndarray]:
+                        parts = slice(N_CLASSES), slice(N_CLASSES, None)
+                        return [nearest(c, own[..., p], every[p]) for c, p in zip(counts, parts)]
+
+                    chars, words = map(float, distances(every if reference is None else np.array(reference)))
+                    rare = reference is not None and size < LEAST_DOCS
+                    more = RARE / np.sqrt(size) if rare else 0
+                    within = chars <= bounds[0] + more and words <= bounds[1] + more
+                    if reference is None or rare and not within:
+                        within = not rare and not len(known)
+                        if len(known):
+                            each = distances(known)
+                            within = ((each[0] <= bounds[0]) & (each[1] <= bounds[1])).any()
+                    kept = kept and within
                 rows.append((*base, bool(failed), chars, words, bool(kept)))
             return rows
 
         return run
 
-    return append(joined, make, [whole_text(text), F.col(own.columns[1])], FIELDS, name, keep)
+    return append(joined, make, [whole_text(text), F.col(own.columns[1]), F.col(own.columns[2])], FIELDS, name, keep)
 
 
 def accepted(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:

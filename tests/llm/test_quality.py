@@ -65,6 +65,26 @@ def test_junk_goes_and_clean_stays(spark):
     assert shares[1] > 0.995 and shares[0] < 0.04
 
 
+def test_clean_documents_without_a_reference_stay(spark):
+    """Languages that are null or rare; the mean over all would reject nearly all of their clean documents."""
+
+    def shares(sf, lang, where):
+        docs, labels = (spark.read.parquet(f"/root/testdata/{sf}/{n}.parquet") for n in ("documents", "labels"))
+        judged = quality.judge(docs.withColumn("lang", lang), name="found").join(labels, "doc_id").where(f"found.n_words >= 50 AND {where}")
+        return {r.quality: r.share for r in judged.groupBy("quality").agg(F.avg(F.col("found.kept").cast("int")).alias("share")).collect()}
+
+    null = shares("sf0.1", F.when(F.col("doc_id") % 5 > 0, F.col("lang")), "lang IS NULL")
+    assert null[1] > 0.995 and null[0] < 0.06
+    assert shares("sf0.001", F.col("lang"), "lang = 'es'")[1] == 1  # 16 long documents
+    rare = shares("sf0.1", F.when(F.col("doc_id") % 7 > 0, F.col("lang")).otherwise(F.concat("lang", (F.col("doc_id") % 200).cast("string"))), "length(lang) > 2")
+    assert rare[1] > 0.99 and rare[0] < 0.6  # languages of a few documents: little is certain
+
+
+def test_null_language_is_open_without_references(spark, docs, texts):
+    found = quality.judge(docs([(k, t, None) for k, t in texts])).select("quality.*").collect()
+    assert all(r.kept != r.base_failed for r in found)
+
+
 def test_edges(spark, docs):
     rows = [(1, None, "en"), (2, "", None), (None, "word " * 60, "en"), (3, "a b " * 400_000, "xx"), (3, "a b " * 400_000, "xx")]
     more = docs(rows).withColumn("quality", F.lit("mine")).withColumn("shares", F.lit(1)).withColumn("__lang", F.lit(2))
