@@ -15,12 +15,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mediamix.llm.common import append, map_batches, whole_text
+from mediamix.session import cut_lineage, release
 
 EMBED, WIDTH, STRIDE, FILTERS, HIDDEN = 8, 8, 2, 32, 16
 #: Places of the filters in half a chunk; a chunk is two halves and shares one with each neighbour.
 HALF = 128
 SPAN = HALF * STRIDE
-#: Bounds of the sample the network is fitted on: documents per label, chunks per document.
+#: Documents per label the network is fitted on, and chunks of one that an epoch takes at
+#: least; it takes as many as all epochs need to go through the whole document.
 DOCUMENTS, CHUNKS = 1500, 6
 FOLDS = 5
 EPOCHS, BATCH, RATE = 12, 64, 3e-3
@@ -121,18 +123,27 @@ class Network:
         dembedding[PAD] = 0
         return [dembedding, dfilters, dtop.sum(0), pooled.T @ dhidden, dhidden.sum(0), hidden.T @ dz, np.array([dz.sum()], np.float32)]
 
-    def fit(self, values: np.ndarray, target: np.ndarray, weight: np.ndarray, seed: int = 2) -> None:
-        """Learn the chunk logits by Adam."""
+    def fit(self, texts: list[bytes], target: np.ndarray, weight: np.ndarray, seed: int = 2) -> None:
+        """Learn the chunk logits by Adam, from every chunk of the documents; each document has its weight."""
         rng = np.random.default_rng(seed)
+        values = [padded(t) for t in texts]
+        orders = [rng.permutation((len(v) - (WIDTH - STRIDE)) // SPAN - 1) for v in values]
+        counts = np.array([len(o) for o in orders])
+        takes = np.minimum(counts, np.maximum(CHUNKS, -(-counts // EPOCHS)))
+        owner = np.repeat(np.arange(len(values)), takes)
+        goals = target[owner].astype(np.float32)
+        weights = ((weight / takes)[owner] * takes.mean()).astype(np.float32)
         first = [np.zeros_like(w) for w in self.weights()]
         second = [np.zeros_like(w) for w in self.weights()]
         step = 0
         for epoch in range(EPOCHS):
-            order = rng.permutation(len(values))
+            taken = np.concatenate([o[(epoch * n + np.arange(n)) % len(o)] for o, n in zip(orders, takes)]) * SPAN
+            order = rng.permutation(len(owner))
             rate = RATE * (1 - epoch / EPOCHS)
             for at in range(0, len(order), BATCH):
                 some, step = order[at : at + BATCH], step + 1
-                for w, g, a, b in zip(self.weights(), self.gradients(values[some], target[some], weight[some]), first, second):
+                chunks = np.stack([values[d][i : i + 2 * SPAN + WIDTH - STRIDE] for d, i in zip(owner[some], taken[some])])
+                for w, g, a, b in zip(self.weights(), self.gradients(chunks, goals[some], weights[some]), first, second):
                     a += 0.1 * (g - a)
                     b += 0.001 * (g * g - b)
                     w -= (rate * (a / (1 - 0.9**step)) / (np.sqrt(b / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
@@ -150,11 +161,10 @@ class Network:
 
 
 def sample(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", documents: int = DOCUMENTS) -> DataFrame:
-    """(label, id, chunks): the bounded sample to learn from.
+    """(id, label, text): the bounded sample of documents to learn from, with their whole texts.
 
     Of the labelled documents outside the held-out fold, those with the ``documents`` least
-    hashes of the id for each label 0 and 1; of each, at most ``CHUNKS`` chunks, evenly
-    spread from its first to its last. Ids are chosen before texts are touched.
+    hashes of the id for each label 0 and 1. Ids are chosen before texts are touched.
     """
     known = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).select(F.col(key).alias("id"), F.col(label).alias("label"))
     known = known.where(F.pmod(F.crc32(F.col("id").cast("string").cast("binary")), F.lit(FOLDS)) != 0).dropDuplicates(["id"])
@@ -162,45 +172,45 @@ def sample(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
     chosen = known.where("label = 0").orderBy(*order).limit(documents).union(known.where("label = 1").orderBy(*order).limit(documents))
     some = docs.select(F.col(key).alias("own"), whole_text(text).alias("text")).join(F.broadcast(chosen), F.col("own") == F.col("id"))
 
+    return some.select(F.col("id").cast("bigint").alias("id"), F.col("label").cast("int").alias("label"), "text")
+
+
+def measured(documents: DataFrame, network: Network) -> DataFrame:
+    """(id, label, features) of the documents of ``sample``, by ``network`` over their whole texts."""
+
     def make():
         def run(columns: dict) -> dict:
-            parts, sizes = [], []
-            for t in columns["text"]:
-                data = t.encode()
-                found = chunks_of(data)
-                at = np.unique(np.linspace(0, len(found) - 1, min(len(found), CHUNKS)).astype(int))
-                parts.append(found[at].astype("<i2").tobytes())
-                sizes.append(len(data))
-            return {"id": columns["id"], "label": columns["label"], "chunks": parts, "size": sizes}
+            texts = [t.encode() for t in columns["text"]]
+            features = [network.features(network.logits(t), len(t)).tolist() for t in texts]
+            return {"id": columns["id"], "label": columns["label"], "features": features}
 
         return run
 
-    return map_batches(some.select(F.col("id").cast("bigint").alias("id"), "label", "text"), make, "id bigint, label int, chunks binary, size bigint")
+    return map_batches(documents, make, "id bigint, label int, features array<double>")
 
 
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", documents: int = DOCUMENTS) -> Network:
-    """Fit the network on ``sample``; at most 2 * ``documents`` * ``CHUNKS`` chunks reach the driver.
+    """Fit the network on ``sample``, whose whole texts, of 2 * ``documents`` documents at most, reach the driver.
 
-    Labels weigh by the inverse of their share of the sample. Without labelled documents
-    the scores are those of an untrained network.
+    The combination is fitted on the features that ``score`` has, of whole texts, which
+    tasks compute. Labels weigh by the inverse of their share of the sample. Without
+    labelled documents the scores are those of an untrained network.
     """
-    rows = sorted(sample(docs, labels, key, text, label, documents).collect(), key=lambda r: (r.id, r.size))
+    sampled = cut_lineage(sample(docs, labels, key, text, label, documents))
+    rows = sorted(sampled.collect(), key=lambda r: (r.id, r.text))
     network = Network()
     if not rows:
         return network
-    wide = 2 * SPAN + WIDTH - STRIDE
-    parts = [np.frombuffer(r.chunks, "<i2").reshape(-1, wide) for r in rows]
-    target = np.array([r.label for r in rows], np.float64)
-    share = np.array([max(1, (target == v).sum()) for v in (0, 1)]) / len(target)
-    weight = 0.5 / share[target.astype(int)]
-    counts = [len(p) for p in parts]
-    network.fit(np.concatenate(parts), np.repeat(target, counts).astype(np.float32), np.repeat(weight / counts, counts).astype(np.float32) * np.float32(np.mean(counts)))
-    z = []
-    for p, r in zip(parts, rows):
-        x = np.stack([network.windows(v) for v in p])
-        pooled = np.maximum((x @ network.filters).max(1) + network.filter_bias, 0)
-        z.append(network.features(network.head(pooled)[0], r.size))
-    network.fit_combination(np.array(z), target, weight)
+
+    def weighed(labels: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        target = np.array(labels, np.float64)
+        share = np.array([max(1, (target == v).sum()) for v in (0, 1)]) / len(target)
+        return target, 0.5 / share[target.astype(int)]
+
+    network.fit([r.text.encode() for r in rows], *weighed([r.label for r in rows]))
+    rows = sorted(measured(sampled, network).collect(), key=lambda r: (r.id, r.features))
+    release(sampled)
+    network.fit_combination(np.array([r.features for r in rows]), *weighed([r.label for r in rows]))
     return network
 
 

@@ -28,6 +28,28 @@ def test_sample_leaves_the_fold_out(spark):
     assert len(ids) == len(set(ids)) == 60 and all(bytenet.fold_of(i) for i in ids)
 
 
+def test_whole_texts_are_learned_from(spark, docs, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = [(k, rng.integers(97, 123, size, np.uint8).tobytes().decode()) for k, size in enumerate([300, 9_000, 60_000, 2_000] * 3)]
+    labels = spark.createDataFrame([(k, k % 2, 0) for k, _ in rows], "doc_id bigint, quality int, toxic int")
+    seen, given = set(), []
+    step, last = bytenet.Network.gradients, bytenet.Network.fit_combination
+    monkeypatch.setattr(bytenet.Network, "gradients", lambda self, v, *more: (seen.update(x.tobytes() for x in v), step(self, v, *more))[1])
+    monkeypatch.setattr(bytenet.Network, "fit_combination", lambda self, f, *more: (given.append(f), last(self, f, *more))[1])
+    network = bytenet.train(docs(rows), labels)
+    texts = [t.encode() for k, t in rows if bytenet.fold_of(k)]
+    assert seen == {c.tobytes() for t in texts for c in bytenet.chunks_of(t)}
+    assert np.allclose(given[0], [network.features(network.logits(t), len(t)) for t in texts], atol=1e-6)
+
+
+def test_held_out_accuracy_of_long_documents(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{n}.parquet") for n in ("documents", "labels"))
+    scored = bytenet.classify(docs, bytenet.train(docs, labels), keep=["doc_id", "n_chars"], name="found").join(labels, "doc_id")
+    rows = [r for r in scored.where(f"found.held_out AND n_chars > {7 * bytenet.SPAN}").select("found.score", "quality").collect()]
+    good, bad = ([r.score for r in rows if r.quality == v] for v in (1, 0))
+    assert np.mean([(g > b) + (g == b) / 2 for g in good for b in bad]) > 0.9
+
+
 def test_gradients_equal_differences():
     rng = np.random.default_rng(0)
     network = bytenet.Network()
