@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mediamix.llm import bpe, bytenet, chat, licenses, linededup, minhash, mtree, packing, quality, secrets
+from mediamix.llm import bpe, bytenet, chat, collocations, licenses, linededup, minhash, mtree, packing, quality, secrets
 from mediamix.llm.common import table
 
 Q, S = {}, {}
@@ -89,6 +89,40 @@ def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(docs.select("doc_id", "text", path.alias("path")))
 
 
+@query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
+S["op12_collocations"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, list_filter(regexp_split_to_array(p, '[ \t]+'), lambda w: w <> '') AS w
+  FROM (SELECT lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents)
+), sizes AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM pieces GROUP BY 1
+), found AS (
+  SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase
+  FROM (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces), (SELECT unnest(range(1, 6)) AS m) WHERE i + m - 1 <= len(w)
+), f AS MATERIALIZED (SELECT lang, m, phrase, count(*) AS f FROM found GROUP BY ALL HAVING count(*) >= 100
+), cuts AS (
+  SELECT lang, m, phrase, f AS a, k, array_to_string(w[1:k], ' ') AS x, array_to_string(w[k + 1:], ' ') AS y
+  FROM (SELECT *, string_split(phrase, ' ') AS w, unnest(range(1, m)) AS k FROM f WHERE m > 1)
+), scored AS (
+  SELECT c.*, p.f AS l, q.f AS r, n, CAST((CAST(1000 AS HUGEINT) * a * n) // (CAST(p.f AS HUGEINT) * q.f) AS BIGINT) AS score
+  FROM cuts c JOIN f p ON p.lang = c.lang AND p.phrase = x JOIN f q ON q.lang = c.lang AND q.phrase = y JOIN sizes s ON s.lang = c.lang
+), worst AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inner_parts AS (
+  SELECT lang, a, array_to_string(w[i:j], ' ') AS phrase
+  FROM (SELECT lang, a, m, string_split(phrase, ' ') AS w, i, unnest(range(i + 1, m + 1)) AS j
+        FROM (SELECT lang, f AS a, m, phrase, unnest(range(1, m)) AS i FROM f WHERE m > 2)) WHERE j - i + 1 < m
+), kept AS (
+  SELECT * FROM worst w WHERE NOT EXISTS (SELECT 1 FROM inner_parts i WHERE i.lang = w.lang AND i.phrase = w.phrase AND 100 * i.a >= 100 * w.a)
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM kept
+QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= 2000
+"""
+
+
 S["op6_chat"] = r"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
