@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mediamix.llm import bpe, bytenet, chat, collocations, licenses, linededup, minhash, mtree, packing, quality, secrets
+from mediamix.llm import bpe, bytenet, chat, collocations, licenses, linededup, minhash, mtree, packing, quality, repair, secrets, urlfilter
 from mediamix.llm.common import table
 
 Q, S = {}, {}
@@ -89,6 +89,109 @@ def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(docs.select("doc_id", "text", path.alias("path")))
 
 
+@query
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.damage_and_repair(table(spark, sf_dir, "conversations"))
+
+
+S["op11_repair"] = r"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda c: list_reduce(range(8), lambda x, k: CASE WHEN x & 1 = 1 THEN xor(3988292384::BIGINT, x >> 1) ELSE x >> 1 END, c)) AS t
+), keyed AS (
+  SELECT *, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations
+), kinds AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(list_reduce(list_transform(range(1, length(key) + 1), lambda i: ord(substr(key, i, 1))::BIGINT), lambda x, b: xor(t[(xor(x, b) & 255) + 1], x >> 8), 4294967295::BIGINT), 4294967295::BIGINT) % 20 AS kind
+  FROM keyed, crc
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM (SELECT *, unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy FROM kinds WHERE kind <> 0)
+), seen AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS again,
+    rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS content FROM damaged
+), placed AS (
+  SELECT conv_id, turn, role, text, left(role, 1) AS initial,
+    CASE WHEN content = '' THEN 'b' WHEN again > 1 THEN 'd' WHEN right(content, 1) NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, again) AS place FROM seen
+), neighbours AS (
+  SELECT *, lag(initial) OVER (PARTITION BY conv_id ORDER BY place) || initial AS pair FROM placed
+), summed AS (
+  SELECT conv_id, CAST(coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS BIGINT) AS gaps, count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate,
+    count(*) FILTER (fault = 't') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+  FROM neighbours GROUP BY conv_id
+), walk AS (
+  SELECT conv_id, n AS place, {'c': 0, 'e': ''} AS o0, {'c': 6, 'e': 'II'} AS o1, {'c': 3, 'e': 'I'} AS o2, {'c': 0, 'e': ''} AS o3 FROM summed
+  UNION ALL
+  SELECT conv_id, place, list_min([b0, {'c': b2.c + 3, 'e': 'I' || b2.e}, {'c': b3.c + 6, 'e': 'II' || b3.e}]), list_min([b1, {'c': b2.c + 3, 'e': 'I' || b2.e}, {'c': b3.c + 6, 'e': 'II' || b3.e}]),
+    list_min([b2, {'c': b3.c + 3, 'e': 'I' || b3.e}]), list_min([b3, {'c': b2.c + 3, 'e': 'I' || b2.e}])
+  FROM (
+    SELECT w.conv_id, w.place - 1 AS place,
+      list_min([{'c': o0.c + 4, 'e': 'D' || o0.e}, {'c': o2.c + 3 + x, 'e': 'R' || o2.e}, {'c': CASE initial WHEN 's' THEN o1.c WHEN 'u' THEN o2.c ELSE 999999 END + x, 'e': 'K' || CASE initial WHEN 's' THEN o1.e ELSE o2.e END}]) AS b0,
+      list_min([{'c': o1.c + 4, 'e': 'D' || o1.e}, {'c': o2.c + 3 + x, 'e': 'R' || o2.e}, {'c': CASE initial WHEN 'u' THEN o2.c ELSE 999999 END + x, 'e': 'K' || o2.e}]) AS b1,
+      list_min([{'c': o2.c + 4, 'e': 'D' || o2.e}, {'c': o3.c + 3 + x, 'e': 'R' || o3.e}, {'c': CASE initial WHEN 'a' THEN o3.c ELSE 999999 END + x, 'e': 'K' || o3.e}]) AS b2,
+      list_min([{'c': o3.c + 4, 'e': 'D' || o3.e}, {'c': o2.c + 3 + x, 'e': 'R' || o2.e}, {'c': CASE initial WHEN 'u' THEN o2.c ELSE 999999 END + x, 'e': 'K' || o2.e}]) AS b3
+    FROM walk w JOIN (SELECT *, CASE fault WHEN 't' THEN 3 WHEN '' THEN 0 ELSE 999999 END AS x FROM placed) p ON p.conv_id IS NOT DISTINCT FROM w.conv_id AND p.place = w.place
+  )
+), solved AS (SELECT conv_id, CAST(o0.c AS BIGINT) AS cost, o0.e AS audit FROM walk WHERE place = 0
+), edits AS (
+  SELECT conv_id, i, audit[i] AS edit, length(replace(audit[1:i], 'I', '')) AS place FROM (SELECT *, unnest(range(1, length(audit) + 1)) AS i FROM solved)
+), kept AS (
+  SELECT e.conv_id, e.i, e.edit, p.role, p.initial, p.text FROM edits e LEFT JOIN placed p ON p.conv_id IS NOT DISTINCT FROM e.conv_id AND p.place = e.place AND e.edit <> 'I' WHERE e.edit <> 'D'
+), counted AS (
+  SELECT *, sum(CASE WHEN edit = 'K' AND initial = 's' THEN 0 ELSE 1 END) OVER (PARTITION BY conv_id ORDER BY i) AS nth FROM kept
+), texts AS (
+  SELECT conv_id, string_agg(CASE WHEN edit = 'K' THEN role WHEN nth % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || coalesce(text, ''), chr(10) ORDER BY i) AS whole FROM counted GROUP BY conv_id
+)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(whole, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN summed s ON s.conv_id IS NOT DISTINCT FROM c.conv_id
+  LEFT JOIN solved v ON v.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN texts t ON t.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+
+@query
+def op13_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = urlfilter.judge(table(spark, sf_dir, "pages"), urlfilter.rule_table(spark, urlfilter.RULES))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+# The given pages declare no canonical links or refreshes; edges of those are held against brute force in the tests.
+S["op13_urlfilter"] = r"""
+WITH RECURSIVE split AS (
+  SELECT page_id, url, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), parts AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path, regexp_extract(rest, '^[^?#]*\?([^#]*)', 1) AS query FROM split
+), own AS (
+  SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, coalesce(query, '') AS query FROM parts
+), plain AS (
+  SELECT *, CASE WHEN regexp_matches(host, '^(www|m)\.[^.]+\.') THEN regexp_replace(host, '^(www|m)\.', '') ELSE host END AS plain_host,
+    regexp_replace(regexp_replace(path, '(/index)?\.html?$', ''), '/+$', '') AS plain_path,
+    array_to_string(list_sort(list_filter(string_split(query, '&'), lambda p: p <> '' AND NOT regexp_matches(p, '(?i)^(utm_\w*|ref|fbclid|gclid)(=|$)'))), '&') AS plain_query FROM own
+), addresses AS (
+  SELECT *, host || path || CASE WHEN query <> '' THEN '?' || query ELSE '' END AS a, plain_host || plain_path || CASE WHEN plain_query <> '' THEN '?' || plain_query ELSE '' END AS b FROM plain
+), rules(rule_verdict, rule_host, rule_path) AS (
+  VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')
+), places AS (
+  SELECT DISTINCT a AS node, host, path FROM addresses WHERE host <> '' UNION SELECT DISTINCT b, plain_host, plain_path FROM addresses WHERE host <> ''
+), fits AS (
+  SELECT host, path, rule_host || rule_path AS rule, rule_verdict FROM (SELECT DISTINCT host, path FROM places), rules
+  WHERE (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+  QUALIFY row_number() OVER (PARTITION BY host, path ORDER BY length(rule) DESC, rule_verdict, rule) = 1
+), links AS (
+  SELECT DISTINCT a, b FROM addresses WHERE host <> '' UNION SELECT DISTINCT b, a FROM addresses WHERE host <> ''
+), reach AS (
+  SELECT a AS node, a AS other FROM links UNION SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.other
+), spread AS (
+  SELECT r.node FROM reach r JOIN places p ON p.node = r.other LEFT JOIN fits f ON f.host = p.host AND f.path = p.path
+  GROUP BY r.node HAVING bool_or(rule_verdict = 'block') AND NOT coalesce(bool_or(rule_verdict = 'allow'), false)
+)
+SELECT page_id, d.host, d.path, rule, coalesce(rule_verdict, CASE WHEN d.host <> '' AND a IN (SELECT node FROM spread) THEN 'block' ELSE 'allow' END) AS verdict
+FROM addresses d LEFT JOIN fits f ON f.host = d.host AND f.path = d.path
+"""
+
+
 @query
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.mine(table(spark, sf_dir, "documents"))
