@@ -180,10 +180,16 @@ POINTS_SQL = (
     "CAST(10000000 - SUM(CAST(l_extendedprice AS DECIMAL(14,2))) AS DOUBLE) AS decomp_rssd FROM lineitem JOIN orders ON l_orderkey=o_orderkey "
     "JOIN supplier ON l_suppkey=s_suppkey JOIN nation ON s_nationkey=n_nationkey JOIN region ON n_regionkey=r_regionkey GROUP BY 1,2"
 )
+# Peels fronts off level by level; a point's front is the number of levels that still have it.
 FRONTS_SQL = (
-    f"WITH p0 AS MATERIALIZED ({POINTS_SQL}), f1 AS ({_front_sql('p0')}), p1 AS (SELECT * FROM p0 ANTI JOIN f1 USING (segment, sol_id)), "
-    f"f2 AS ({_front_sql('p1')}), p2 AS (SELECT * FROM p1 ANTI JOIN f2 USING (segment, sol_id)), f3 AS ({_front_sql('p2')}) "
-    + " UNION ALL ".join(f"SELECT *, CAST({i} AS INTEGER) AS front FROM f{i}" for i in (1, 2, 3))
+    f"WITH RECURSIVE p0 AS MATERIALIZED ({POINTS_SQL}), "
+    "level AS (SELECT *, 1 AS n FROM p0 UNION ALL SELECT segment, sol_id, nrmse, decomp_rssd, n + 1 FROM (SELECT *, "
+    "MIN(decomp_rssd) OVER (PARTITION BY segment ORDER BY nrmse RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before, "
+    "MIN(decomp_rssd) OVER (PARTITION BY segment, nrmse) AS here FROM level) WHERE NOT (decomp_rssd=here AND (before IS NULL OR decomp_rssd<before))), "
+    "numbered AS (SELECT segment, sol_id, nrmse, decomp_rssd, CAST(MAX(n) AS INTEGER) AS front FROM level GROUP BY 1,2,3,4), "
+    "counted AS (SELECT segment, front, SUM(COUNT(*)) OVER (PARTITION BY segment ORDER BY front) AS n FROM numbered GROUP BY 1,2), "
+    f"enough AS (SELECT segment, GREATEST({pareto.FRONTS}, COALESCE(MIN(front) FILTER (n >= {pareto.MIN_CANDIDATES}), MAX(front))) AS last FROM counted GROUP BY 1) "
+    "SELECT numbered.* FROM numbered JOIN enough USING (segment) WHERE front <= last"
 )
 _g = "CASE WHEN spend=0 THEN 0 ELSE spend/(mean_spend*step + spend) END"
 _points_n = exposure_fit.GRID
@@ -237,7 +243,7 @@ S["channel_decomposition"] = rounded_sql(
 )
 Q["pareto_front_1"] = lambda s, d: pareto.front(order_points(s, d))
 S["pareto_front_1"] = f"WITH p0 AS MATERIALIZED ({POINTS_SQL}) {_front_sql('p0')}"
-Q["pareto_fronts"] = lambda s, d: pareto.pareto_fronts(order_points(s, d), fronts=3, min_candidates=0)
+Q["pareto_fronts"] = lambda s, d: pareto.pareto_fronts(order_points(s, d))
 S["pareto_fronts"] = FRONTS_SQL
 Q["cluster_solutions"] = lambda s, d: clustered(s, d).select("segment", "sol_id", "k", "cluster")
 Q["cluster_top_solutions"] = lambda s, d: cluster.cluster_winners(clustered(s, d))

@@ -75,6 +75,41 @@ def test_fronts_equal_brute_force_with_ties(spark):
     assert max(r["front"] for r in found) == 3
 
 
+@pytest.mark.parametrize("block, merged, fronts, least", [(1 << 16, 64, 3, 0), (50, 2, 2, 40), (30, 3, 1, 10_000), (40, 2, 4, 1)])
+def test_fronts_of_many_parts(spark, monkeypatch, block, merged, fronts, least):
+    monkeypatch.setattr(pareto, "BLOCK", block)
+    monkeypatch.setattr(pareto, "MERGED", merged)
+    rng = random.Random(block)
+    points = [(s, f"{s}{i}", rng.choice([rng.random(), rng.randint(0, 3) / 3]), rng.choice([rng.random() ** 4, 0.5])) for s, n in (("a", 300), (None, 30), ("b", 1), ("c", 12)) for i in range(n)]
+    points += [("a", "nan", float("nan"), 0.0), ("a", "null", None, 0.0), ("d", "null", 0.0, None)]
+    df = spark.createDataFrame(points, "segment string, sol_id string, nrmse double, decomp_rssd double").repartition(9)
+    got = {(r["segment"], r["sol_id"]): r["front"] for r in pareto.pareto_fronts(df, fronts, least).collect()}
+    want = {}
+    for segment in ("a", None, "b", "c"):
+        own = [(i, math.inf if x is not None and math.isnan(x) else x, y) for s, i, x, y in points if s == segment and x is not None and y is not None]
+        taken = 0
+        for number, front in enumerate(brute_fronts(own), 1):
+            if number > fronts and taken >= least:
+                break
+            taken += len(front)
+            want |= {(segment, i): number for i in front}
+    assert got == want
+
+
+def test_fronts_read_the_points_once(spark):
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(4000).selectExpr("'s' AS segment", "CAST(id AS STRING) AS sol_id", "rand(1) AS nrmse", "rand(2) AS decomp_rssd")
+    found = pareto.pareto_fronts(df.mapInArrow(counted, df.schema))
+    assert found.agg(F.max("front")).first()[0] >= 3 and found.count() >= 200
+    assert reads.value == 4000
+
+
 def test_clusters_of_two_segments_at_once(spark):
     rng = random.Random(4)
     rows = []
