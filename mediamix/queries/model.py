@@ -191,17 +191,48 @@ FRONTS_SQL = (
     f"enough AS (SELECT segment, GREATEST({pareto.FRONTS}, COALESCE(MIN(front) FILTER (n >= {pareto.MIN_CANDIDATES}), MAX(front))) AS last FROM counted GROUP BY 1) "
     "SELECT numbered.* FROM numbered JOIN enough USING (segment) WHERE front <= last"
 )
-_g = "CASE WHEN spend=0 THEN 0 ELSE spend/(mean_spend*step + spend) END"
-_points_n = exposure_fit.GRID
-MM_SQL = _on_media(
-    "SELECT segment, channel, mean_spend, vmax, km, rsq_nls, sxy/sxx AS coef_lm, 1-(syy-sxy/sxx*sxy)/tss AS rsq_lm FROM "
-    "(SELECT *, ROW_NUMBER() OVER (PARTITION BY segment, channel ORDER BY rsq_nls DESC NULLS LAST, point) AS rn FROM "
-    "(SELECT *, syg/NULLIF(sgg,0) AS vmax, mean_spend*step AS km, 1-(syy-syg/NULLIF(sgg,0)*syg)/NULLIF(tss,0) AS rsq_nls FROM sums JOIN totals USING (segment, channel))) WHERE rn=1",
-    "totals AS (SELECT segment, channel, AVG(spend) AS mean_spend, SUM(exposure*exposure) AS syy, SUM(spend*exposure) AS sxy, SUM(spend*spend) AS sxx, "
-    "SUM(exposure*exposure)-SUM(exposure)*SUM(exposure)/COUNT(*) AS tss FROM media GROUP BY 1,2), "
-    f"steps AS (SELECT point, 0.02::DOUBLE*POWER(1000.0::DOUBLE, point/{_points_n - 1}.0::DOUBLE) AS step FROM range({_points_n}) r(point)), "
-    f"sums AS (SELECT segment, channel, point, step, SUM(exposure*({_g})) AS syg, SUM(({_g})*({_g})) AS sgg FROM media JOIN totals USING (segment, channel), steps GROUP BY 1,2,3,4)",
-)
+
+
+def _mm_sql() -> str:
+    """The same search, every round as two common tables over rows and points."""
+    last = exposure_fit.POINTS - 1
+    g = "(CASE WHEN u<>0 THEN u/(k+u) ELSE 0.0 END)"
+    h = "(CASE WHEN u<>0 THEN u/((k+u)*(k+u)) ELSE 0.0 END)"
+    tables = [
+        "totals AS (SELECT segment, channel, AVG(spend) AS mean_spend, SUM(exposure*exposure) AS syy, SUM(spend*exposure) AS sxy, SUM(spend*spend) AS sxx, "
+        "SUM(exposure*exposure)-SUM(exposure)*SUM(exposure)/COUNT(*) AS tss FROM media GROUP BY 1,2)",
+        "scaled AS (SELECT segment, channel, COALESCE(spend/NULLIF(mean_spend,0),0.0) AS u, exposure AS y FROM media JOIN totals USING (segment, channel))",
+        f"b0 AS (SELECT segment, channel, LN({exposure_fit.LOW}::DOUBLE) AS low, LN({exposure_fit.HIGH}::DOUBLE) AS high FROM totals)",
+    ]
+    for n in range(exposure_fit.ROUNDS):
+        tables.append(
+            f"p{n} AS (SELECT segment, channel, i, low, step, SUM(y*{g})*SUM({g}*{h})-SUM(y*{h})*SUM({g}*{g}) AS rise, COALESCE(SUM(y*{g})*SUM(y*{g})/NULLIF(SUM({g}*{g}),0),-1) AS gain "
+            f"FROM (SELECT *, EXP(low+step*i) AS k FROM (SELECT *, (high-low)/{last} AS step FROM scaled JOIN b{n} USING (segment, channel)), range({last + 1}) r(i)) GROUP BY 1,2,3,4,5)"
+        )
+        if n == 0:
+            at = f"SELECT segment, channel, low, step, CASE WHEN rise>0 THEN i ELSE i-1 END AS place FROM p0 QUALIFY ROW_NUMBER() OVER (PARTITION BY segment, channel ORDER BY gain DESC, i)=1"
+        else:
+            at = f"SELECT segment, channel, ANY_VALUE(low) AS low, ANY_VALUE(step) AS step, COALESCE(MIN(i) FILTER (i>0 AND rise<=0), {last})-1 AS place FROM p{n} GROUP BY 1,2"
+        tables.append(f"a{n} AS (SELECT *, GREATEST(0, LEAST(place, {last - 1})) AS inside FROM ({at}))")
+        tables.append(
+            f"b{n + 1} AS (SELECT a.segment, a.channel, a.low+a.step*inside AS low, a.low+a.step*(inside+1) AS high, x.rise AS rise, y.rise AS fall FROM a{n} a "
+            f"JOIN p{n} x ON x.segment=a.segment AND x.channel=a.channel AND x.i=inside JOIN p{n} y ON y.segment=a.segment AND y.channel=a.channel AND y.i=inside+1)"
+        )
+    crossing = "rise>0 AND fall<=0"
+    tables.append(
+        f"ends AS (SELECT segment, channel, CASE WHEN place<0 THEN 'low' WHEN place>={last} THEN 'high' END AS edge, {crossing} AND place>=0 AND place<{last} AS converged, "
+        f"CASE WHEN place<0 THEN {exposure_fit.LOW}::DOUBLE WHEN place>={last} THEN {exposure_fit.HIGH}::DOUBLE ELSE EXP(b.low+(high-b.low)*(CASE WHEN {crossing} THEN rise/(rise-fall) WHEN rise>0 THEN 1.0 ELSE 0.0 END)) END AS k "
+        f"FROM b{exposure_fit.ROUNDS} b JOIN (SELECT segment, channel, place FROM a0) USING (segment, channel))"
+    )
+    tables.append(f"best AS (SELECT segment, channel, ANY_VALUE(k) AS k, ANY_VALUE(edge) AS edge, ANY_VALUE(converged) AS converged, SUM(y*{g}) AS yg, SUM({g}*{g}) AS gg FROM scaled JOIN ends USING (segment, channel) GROUP BY 1,2)")
+    return _on_media(
+        "SELECT segment, channel, mean_spend, yg/NULLIF(gg,0) AS vmax, CASE WHEN gg>0 THEN k*mean_spend END AS km, 1-(syy-yg/NULLIF(gg,0)*yg)/NULLIF(tss,0) AS rsq_nls, "
+        "sxy/NULLIF(sxx,0) AS coef_lm, 1-(syy-sxy/NULLIF(sxx,0)*sxy)/NULLIF(tss,0) AS rsq_lm, CASE WHEN gg>0 THEN edge END AS km_edge, gg>0 AND converged AS converged FROM totals JOIN best USING (segment, channel)",
+        ", ".join(tables),
+    )
+
+
+MM_SQL = _mm_sql()
 CURVES_SQL = _on_media(
     "SELECT segment, channel, CAST(step AS INTEGER) AS step, mean_spend, mean_spend*2/100*step AS spend, coef*h(step) AS response, CASE WHEN step>0 THEN coef*h(step)-coef*h(step-1) ELSE 0.0 END AS marginal FROM inputs, range(101) r(step)",
     "inputs AS (SELECT segment, channel, AVG(spend) AS mean_spend, SUM(exposure) AS coef, MAX(spend) AS top, "
@@ -247,9 +278,9 @@ Q["pareto_fronts"] = lambda s, d: pareto.pareto_fronts(order_points(s, d))
 S["pareto_fronts"] = FRONTS_SQL
 Q["cluster_solutions"] = lambda s, d: clustered(s, d).select("segment", "sol_id", "k", "cluster")
 Q["cluster_top_solutions"] = lambda s, d: cluster.cluster_winners(clustered(s, d))
-Q["mm_fit"] = lambda s, d: rounded(exposure_fit.mm_fit(media(s, d), grid=_points_n))
+Q["mm_fit"] = lambda s, d: rounded(exposure_fit.mm_fit(media(s, d)))
 S["mm_fit"] = rounded_sql(MM_SQL, ["mean_spend", "vmax", "km", "rsq_nls", "coef_lm", "rsq_lm"])
-Q["mm_use_flag"] = lambda s, d: exposure_fit.mm_use_flag(exposure_fit.mm_fit(media(s, d), grid=_points_n)).select("segment", "channel", "model_type", "use_mm")
+Q["mm_use_flag"] = lambda s, d: exposure_fit.mm_use_flag(exposure_fit.mm_fit(media(s, d))).select("segment", "channel", "model_type", "use_mm")
 S["mm_use_flag"] = f"SELECT segment, channel, CASE WHEN rsq_nls>=rsq_lm THEN 'nls' ELSE 'lm' END AS model_type, rsq_nls>=rsq_lm AND km/(mean_spend+1e-10)<=10 AND rsq_nls>=0.95 AS use_mm FROM ({MM_SQL})"
 Q["score_roas"] = lambda s, d: rounded(score.channel_scores(channels(s, d)).select("segment", "sol_id", "roas", "roas_cv"), 6)
 S["score_roas"] = rounded_sql(sql("SELECT segment, sol_id, roas, roas_cv FROM measures", "measures"), ["roas", "roas_cv"], 6)
