@@ -15,7 +15,8 @@ ACCURACY = 1_000_000
 
 # First pass over segments of any size: sketches of at most about this many samples.
 SKETCH = 10_000
-BUCKETS = 4096
+# Parts of about equally many distinct values that a bracket is cut into.
+BUCKETS = 128
 
 
 def quantile_column(name: str, index: int) -> str:
@@ -53,6 +54,19 @@ def segment_quantiles(
     return _refined(df, grain, columns, probabilities, sketch)
 
 
+def _bucketed(counted: DataFrame, target: Sequence[str]) -> DataFrame:
+    """``counted`` with ``__bucket``: where ``__v`` lies between splitters of its target.
+
+    Splitters are merged sketches of the values themselves, so buckets hold about equally
+    many, however the values are spread; equal widths would put all but a few values of a
+    heavy tail into one. What is below the bracket (no value) has bucket -1.
+    """
+    shares = [i / BUCKETS for i in range(1, BUCKETS)]
+    cuts = counted.groupBy(*target).agg(F.percentile_approx("__v", shares, 8 * BUCKETS).alias("__cuts"))
+    below = F.size(F.filter("__cuts", lambda c: c < F.col("__v")))
+    return join_on(counted, cuts, target).withColumn("__bucket", F.when(F.col("__v").isNull(), -1).otherwise(below)).drop("__cuts")
+
+
 def _refined(
     df: DataFrame,
     grain: Grain,
@@ -67,7 +81,8 @@ def _refined(
     brackets each quantile between two values a few ranks-per-``sketch`` apart.  Pass 2
     counts the distinct values inside the brackets of the large segments (grouped by
     value, so spread over the cluster) and the rows below them, cuts each bracket into
-    buckets, and finds the bucket and then the value that reaches the rank.
+    buckets of equally many of those, and finds the bucket and then the value that reaches
+    the rank.
     """
     keys, margin = list(grain.keys), 2.0 / sketch
     asked = [p for q in probabilities for p in (max(q - margin, 0.0), q, min(q + margin, 1.0))]
@@ -127,14 +142,7 @@ def _refined(
     )
     target = [*keys, "__name", "__i"]
     counted = hits.groupBy(*target, "__rank", "__v").agg(F.count("*").alias("__count"))
-    spread = counted.groupBy(*target).agg(F.min("__v").alias("__min"), F.max("__v").alias("__max"))
-    width = F.col("__max") - F.col("__min")
-    placed = join_on(counted, spread, target).withColumn(
-        "__bucket",
-        F.when(F.col("__v").isNull(), -1)
-        .when(width == 0, 0)
-        .otherwise(F.floor((F.col("__v") - F.col("__min")) / width * BUCKETS)),
-    )
+    placed = _bucketed(counted, target)
     buckets = placed.groupBy(*target, "__rank", "__bucket").agg(F.sum("__count").alias("__in"))
     upto = Window.partitionBy(*target).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     chosen = (

@@ -135,6 +135,21 @@ def test_refined_quantiles_are_exact_for_a_hot_segment(spark):
             assert row[quantiles.quantile_column("v", i)] == ordered[rank - 1]
 
 
+def test_quantiles_of_a_heavy_tail(spark):
+    """Exact, and the last step looks at a part of the values that does not grow with the tail's width."""
+    rng = random.Random(8)
+    rows = [("hot", rng.paretovariate(0.3)) for _ in range(20_000)] + [("hot", float("inf"))] * 3 + [("b", 1.0)] * 90
+    df = spark.createDataFrame(rows, "k string, v double")
+    probabilities = [0.01, 0.5, 0.97, 0.999, 1.0]
+    row = quantiles.segment_quantiles(df, LOOSE, {"v": F.col("v")}, probabilities, sketch=50).filter("k = 'hot'").first()
+    ordered = sorted(v for k, v in rows if k == "hot")
+    for i, p in enumerate(probabilities):
+        assert row[quantiles.quantile_column("v", i)] == ordered[-int(-p * len(ordered) // 1) - 1]
+    counted = df.filter("k = 'hot'").select("k", F.col("v").alias("__v")).groupBy("k", "__v").count()
+    sizes = [r["count"] for r in quantiles._bucketed(counted, ["k"]).groupBy("__bucket").count().collect()]
+    assert len(sizes) == quantiles.BUCKETS and max(sizes) < 2 * sorted(sizes)[len(sizes) // 2]
+
+
 def test_flags(spark):
     df = spark.createDataFrame([(" Yes ",), ("n",), (None,), ("maybe",)], "f string")
     assert [v for (v,) in values(checks.normalize_flags(df, ["f"]), "f")] == [1, 0, 0, 0]
