@@ -22,14 +22,15 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mediamix.llm.common import map_batches, type_of, whole_text
+from mediamix.llm.common import map_batches, remember, type_of, whole_text
 
 #: Fixed value: the published word pattern of byte-level BPE vocabularies of this kind.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 LONG_WORD = 64
 NO_RANK = np.iinfo(np.int32).max
-#: Words a worker remembers in each of two generations. Results don't depend on it.
-REMEMBERED = 400_000
+#: Bytes of words and ids that a worker remembers in each of two generations, and about what
+#: an entry takes besides its own. Results don't depend on it.
+REMEMBERED, ENTRY = 32 << 20, 200
 #: Words per matrix, and characters of text split at a time.
 ROWS, CHARACTERS = 2048, 1 << 21
 
@@ -79,9 +80,13 @@ class ByteBpe:
         self.word_pattern = regex.compile(WORD_PATTERN)
         self.packed: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.held = 0
         self.known: set[str] = set()
         self._library = None
 
+    def forget(self) -> None:
+        self.packed, self.older, self.held = {}, {}, 0
+
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Ranks of pairs; ``NO_RANK`` where there is none or an id is negative."""
         key = left << 32 | right
@@ -119,12 +124,13 @@ class ByteBpe:
 
     def _remember(self, words: Iterable[list[str]]) -> None:
         """Encode the words that are not remembered."""
-        if len(self.packed) > REMEMBERED:
-            self.older, self.packed = self.packed, {}
+        if self.held > REMEMBERED:
+            self.older, self.packed, self.held = self.packed, {}, 0
         new = set().union(*words).difference(self.packed)
         known = new.intersection(self.older)
         for word in known:
             self.packed[word] = self.older[word]
+        self.held += sum(ENTRY + 5 * len(word) for word in new)
         new = sorted(new - known, key=len)  # rows of a matrix are of about one length
         for start in range(0, len(new), ROWS):
             short, long = [], []
@@ -231,6 +237,7 @@ def encode_decode(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: s
 
     def make():
         model = load(vocabulary)
+        remember("bpe", model.forget)
 
         def run(columns: dict) -> dict:
             ids = model.encode(columns["text"])
@@ -248,4 +255,4 @@ def encode_decode(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: s
 
     plain = docs.select(F.col(key).alias("key"), whole_text(text).alias("text"))
     ddl = f"key {type_of(docs, key)}, n_tokens bigint, ids_sha256 string, decoded_sha256 string, round_trip boolean"
-    return map_batches(plain, make, ddl + (", ids binary, decoded string" if with_ids else "")).withColumnRenamed("key", key)
+    return map_batches(plain, make, ddl + (", ids binary, decoded string" if with_ids else ""), "bpe").withColumnRenamed("key", key)

@@ -3,7 +3,7 @@
 Items are dealt to tasks by hash. Every task packs its own best-fit, longest first. Sequences that are nearly full are
 done; the underfull ones become items of the next round, where fewer tasks meet more of
 them, until one task can hold what is left or a round no longer helps. Tasks work on
-blocks of bounded size, and a sequence never has more members than tokens.
+blocks of a bounded number of items, and an item is a number and a length, whatever it holds.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from mediamix.llm.common import map_batches, type_of, whole_text
+from mediamix.llm.common import map_batches, remember, turn_to, type_of, whole_text
 from mediamix.session import cut_lineage, release
 
 CAPACITY, END_ID = 4096, 1
@@ -31,7 +31,9 @@ BLOCK = 1 << 16
 NEARLY = 8
 #: A round that leaves more than this share of its items is the last.
 NO_HELP = 0.95
-REMEMBERED = 500_000
+#: Bytes of stretches and ids that a worker remembers in each of two generations, and about
+#: what an entry takes besides its own.
+REMEMBERED, ENTRY = 64 << 20, 200
 #: Characters that are split at a time, and new stretches that are encoded at a time.
 CHARACTERS, TOGETHER = 1 << 20, 512
 
@@ -55,16 +57,21 @@ class Encoder:
         self.mark, self.mark_id = special[-1] if special else ("", -1)
         split = self._whole("ab") + self._whole("cd") + self._whole("!")
         self.apart = bool(special) and self._whole("AB \n cd !") == split and not self._whole(" \n") and all(c.startswith("<|") for c, _ in special)
+        self.forget()
+
+    def forget(self) -> None:
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.held = 0
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _remember(self, parts: set[str]) -> None:
-        if len(self.new) > REMEMBERED:
-            self.old, self.new = self.new, {}
+        if self.held > REMEMBERED:
+            self.old, self.new, self.held = self.new, {}, 0
         missing = parts.difference(self.new)
+        self.held += sum(ENTRY + 5 * len(part) for part in missing)
         for part in missing.intersection(self.old):
             self.new[part] = self.old[part]
         missing = missing.difference(self.old)
@@ -115,6 +122,7 @@ def pieces(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "t
 
     def make():
         model, end = load(vocabulary), np.uint32(end_id).tobytes()
+        remember("packing", model.forget)
 
         def run(columns: dict) -> dict:
             rows = []
@@ -129,7 +137,7 @@ def pieces(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "t
 
     ddl = f"key {type_of(docs, key)}, piece int, start bigint, length bigint, ids_crc32 bigint" + ", ids binary" * with_ids
     names = StructType.fromDDL(ddl).names
-    return map_batches(docs.select(F.col(key).alias("key"), whole_text(text).alias("text")), make, ddl).withColumnRenamed("key", key)
+    return map_batches(docs.select(F.col(key).alias("key"), whole_text(text).alias("text")), make, ddl, "packing").withColumnRenamed("key", key)
 
 
 def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
@@ -155,35 +163,49 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def _round(items: DataFrame, number: int, capacity: int, nearly: int, schema: StructType) -> DataFrame:
-    """Pack items (total, members) within each task; (sequence_id, total, members, done)."""
+def _round(items: DataFrame, number: int, capacity: int, nearly: int, names: list[str]) -> DataFrame:
+    """Pack items within each task: the columns ``names`` of each (the last is its size), and its place.
+
+    Adds ``bin``, ``at`` (its offset there), ``total`` (of the bin) and ``done``.
+    """
+    schema = StructType([*(items.schema[c] for c in names), *StructType.fromDDL("bin bigint, at bigint, total bigint, done boolean").fields])
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, made, held = TaskContext.get().partitionId(), 0, []
+        turn_to("packing")
+        task, made, held, n = TaskContext.get().partitionId(), 0, [], 0
 
         def packed() -> pa.RecordBatch:
-            nonlocal made
-            rows = []
-            for bin_ in best_fit([total for total, _ in held], capacity):
-                members, at = [], 0
+            nonlocal made, held, n
+            block = pa.Table.from_batches(held)
+            sizes = block.column(len(names) - 1).to_pylist()
+            order, bins, places, totals = [], [], [], []
+            for bin_ in best_fit(sizes, capacity):
+                at = 0
                 for item in bin_:
-                    total, inner = held[item]
-                    members += [m | {"offset": m["offset"] + at} for m in inner]
-                    at += total
-                rows.append(((number << 56) + (task << 32) + made, at, members, at >= capacity - nearly))
+                    places.append(at)
+                    at += sizes[item]
+                order += bin_
+                bins += [(number << 56) + (task << 32) + made] * len(bin_)
+                totals += [at] * len(bin_)
                 made += 1
-            held.clear()
-            return pa.RecordBatch.from_pydict(dict(zip(arrow.names, map(list, zip(*rows)))), schema=arrow)
+            held, n = [], 0
+            moved = block.take(pa.array(order, pa.int64())).combine_chunks().to_batches()[0]
+            done = [t >= capacity - nearly for t in totals]
+            return pa.RecordBatch.from_arrays([*moved.columns, pa.array(bins, pa.int64()), pa.array(places, pa.int64()), pa.array(totals, pa.int64()), pa.array(done, pa.bool_())], schema=arrow)
 
         for batch in batches:
-            held += zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-            if len(held) >= BLOCK:
-                yield packed()
-        if held:
+            while batch.num_rows:
+                part = batch.slice(0, BLOCK - n)
+                batch = batch.slice(part.num_rows)
+                held.append(part)
+                n += part.num_rows
+                if n == BLOCK:
+                    yield packed()
+        if n:
             yield packed()
 
-    return items.select("total", "members").mapInArrow(run, schema)
+    return items.select(*names).mapInArrow(run, schema)
 
 
 def pack(cut: DataFrame, key: str = "doc_id", capacity: int = CAPACITY) -> DataFrame:
@@ -191,28 +213,33 @@ def pack(cut: DataFrame, key: str = "doc_id", capacity: int = CAPACITY) -> DataF
 
     Returns the pieces with ``sequence_id`` and ``offset``; offsets of a sequence have no
     gap. Pieces of null or repeated keys are items like any other; none is dropped or cut.
-    Lengths are 1 to ``capacity``. Which of equally long pieces go together is not defined.
+    Lengths are 1 to ``capacity``. Which of equally long pieces go together is not defined,
+    nor are the numbers of sequences.
+
+    Later rounds know a bin by its number and total only; its members follow in the end, by
+    joining each round's bins with those that they went into, from the last round back.
     """
-    member = f"struct<key:{type_of(cut, key)},piece:int,start:bigint,length:bigint,ids_crc32:bigint,offset:bigint>"
-    schema = StructType.fromDDL(f"sequence_id bigint, total bigint, members array<{member}>, done boolean")
-    own = F.struct(F.col(key).alias("key"), "piece", "start", "length", "ids_crc32", F.lit(0).cast("bigint").alias("offset"))
-    items = cut.select(F.col("length").alias("total"), F.array(own).alias("members"))
-    held = cut.count()
-    finished, number, tasks, first = [], 0, max(1, -(-held // BLOCK)), F.col("members")[0]
+    names = ["key", "piece", "start", "ids_crc32", "length"]
+    items = cut.select(F.col(f"`{key}`").alias("key"), *names[1:])
+    held = items.count()
+    number, tasks, rounds = 0, max(1, -(-held // BLOCK)), []
     while True:
         # dealt anew by hash, so that every task meets long and short items, whatever the order of the input
-        dealt = items.repartition(tasks, F.xxhash64(first["key"], first["piece"], F.lit(number)))
-        packed = cut_lineage(_round(dealt, number, capacity, NEARLY, schema))
-        left = packed.where("NOT done").count()
+        dealt = items.repartition(tasks, F.xxhash64(*names[:2], F.lit(number)))
+        packed = cut_lineage(_round(dealt, number, capacity, NEARLY, names))
+        rounds.append(packed)
+        left = packed.where("NOT done AND at = 0").count()
         if left <= 1 or tasks == 1 or number and left > NO_HELP * held:
-            finished.append(packed)
             break
-        finished.append(packed.where("done"))
+        names = ["item", "size"]
+        items = packed.where("NOT done AND at = 0").select(F.col("bin").alias("item"), F.col("total").alias("size"))
         number, held, tasks = number + 1, left, -(-left // BLOCK)
-        items = packed.where("NOT done")
-    done = functools.reduce(DataFrame.unionByName, finished)
-    out = done.select("sequence_id", F.inline("members"))
-    return out.select(F.col("key").alias(key), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    final = rounds[-1].withColumns({"sequence_id": F.col("bin"), "offset": F.col("at")})
+    for earlier in reversed(rounds[:-1]):
+        places = final.select(F.col("item").alias("bin"), "sequence_id", F.col("offset").alias("shift"))
+        moved = earlier.where("NOT done").join(places, "bin").withColumn("offset", F.col("at") + F.col("shift")).select(*earlier.columns, "sequence_id", "offset")
+        final = moved.union(earlier.where("done").select("*", F.col("bin").alias("sequence_id"), F.col("at").alias("offset")))
+    return final.select(F.col("key").alias(key), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
 def sequences(cut: DataFrame, packed: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -5,10 +5,11 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from mediamix.llm import packing
+from mediamix.llm import common, packing
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 LIBRARY = Tokenizer.from_file(PATH)
@@ -88,3 +89,35 @@ def test_sequences_hold_their_pieces_ids(spark, docs):
     by_doc = {k: ids(t) for k, t in rows}
     for r in packed.collect():
         assert got[r.sequence_id][r.offset : r.offset + r.length] == by_doc[r.doc_id][r.start : r.start + r.length]
+
+
+def test_later_rounds_know_numbers_and_totals_only(spark, monkeypatch):
+    cut = spark.createDataFrame([(i, 0, 0, i % 50 + 1, 0) for i in range(40_000)], "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint")
+    monkeypatch.setattr(packing, "BLOCK", 300)
+    rounds, made = [], packing._round
+    monkeypatch.setattr(packing, "_round", lambda *a: rounds.append(a[-1]) or made(*a))
+    packed = packing.pack(cut).collect()
+    assert len(packed) == 40_000 and len({(r.sequence_id, r.offset) for r in packed}) == 40_000
+    assert len({r.sequence_id for r in packed}) <= 1.1 * 25.5 * 40_000 / 4096 + 1
+    assert len(rounds) > 1 and all(names == ["item", "size"] for names in rounds[1:])
+
+
+def test_memory_of_a_worker_is_bounded(monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", 100_000)
+    model = packing.Encoder(PATH)
+    for i in range(20):
+        model.encode([" ".join(f"w{i}x{j}" for j in range(500))])
+        assert len(model.new) + len(model.old) <= 2 * (100_000 // packing.ENTRY + 500)
+    common.remember("packing", model.forget)
+    common.turn_to("packing")
+    assert model.new
+    common.turn_to("quality")
+    assert not model.new and not model.old
+
+
+def test_batches_are_cut_by_bytes():
+    texts = ["x" * n for n in (10, 5000, 10, 10, 3000, 3000, 0)] + [None] * 3
+    batch = pa.RecordBatch.from_pydict({"id": list(range(10)), "text": texts})
+    parts = list(common.by_bytes([batch, batch.slice(0, 0)], 4000))
+    assert pa.Table.from_batches(parts).to_pydict() == batch.to_pydict()
+    assert all(p.num_rows == 1 or sum(len(t or "") for t in p.column(1).to_pylist()) <= 4000 for p in parts)
