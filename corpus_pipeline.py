@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from mediamix.llm import linededup, minhash, packing, quality, secrets
-from mediamix.session import cut_lineage
+from mediamix.session import cut_lineage, release
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -53,5 +53,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents, each written as Parquet and read by the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES:
-        docs = cut_lineage(stage(spark, docs, sf_dir))
+        done = cut_lineage(stage(spark, docs, sf_dir))
+        release(docs)  # the table that the stage before wrote
+        docs = done
     return docs
