@@ -109,33 +109,52 @@ def silhouettes(assigned: DataFrame, dimensions: int) -> DataFrame:
     return rows.groupBy("segment", "k").agg(F.avg(F.coalesce(value, F.lit(0.0))).alias("silhouette"))
 
 
-def cluster_solutions(
+def settled_clusters(
     points: DataFrame, columns: Sequence[str], min_k: int = MIN_K, max_k: int = MAX_K, rounds: int = ROUNDS
-) -> DataFrame:
-    """Points with ``cluster`` and ``k``, k by the best silhouette of each segment.
+) -> tuple[DataFrame, DataFrame]:
+    """Points with ``cluster`` and ``k``, and the (segment) whose centres never settled.
 
-    Centres move until none does any more; more than ``rounds`` rounds are an error. A
-    cluster that loses its last point is gone, so a segment may end with fewer than k.
+    k is that of the best silhouette of each segment. Centres move until none does any
+    more, for ``rounds`` rounds at most; segments that still move then are set apart, with
+    all their k. A cluster that loses its last point is gone, so a segment may end with
+    fewer than k.
     """
     vectors = cut_lineage(standardised(points, columns))
-    centres = _seeds(vectors, min_k, max_k)
-    centres = cut_lineage(centres)
+    open_ = cut_lineage(_seeds(vectors, min_k, max_k))
+    settled = cut_lineage(open_.limit(0))
     for _ in range(-(-rounds // LOOK)):
-        before = centres
-        for _ in range(LOOK):
-            last, centres = centres, _move(_assign(vectors, centres), len(columns))
-        centres = cut_lineage(centres)
-        moved = centres.join(cut_lineage(last).withColumnRenamed("centres", "before"), ["segment", "k"])
-        if moved.filter(~_close(F.col("centres"), F.col("before"))).isEmpty():
+        centres = open_
+        for _ in range(LOOK - 1):
+            centres = _move(_assign(vectors, centres), len(columns))
+        last = cut_lineage(centres)
+        centres = _move(_assign(vectors, last), len(columns))
+        both = cut_lineage(centres.join(last.withColumnRenamed("centres", "before"), ["segment", "k"]))
+        still = ~_close(F.col("centres"), F.col("before"))
+        done, moved = both.filter(~still).select("segment", "k", "centres"), both.filter(still).select("segment", "k", "centres")
+        merged, left = cut_lineage(settled.unionByName(done)), cut_lineage(moved)
+        release(both, last, settled, open_)
+        settled, open_ = merged, left
+        if open_.isEmpty():
             break
-        release(before)
-    else:
-        raise ValueError(f"clusters still move after {rounds} rounds")
+    unsettled = open_.select("segment").distinct()
+    centres = settled.join(unsettled, "segment", "left_anti")
     assigned = cut_lineage(_assign(vectors, centres).drop("centres"))
     best = silhouettes(assigned, len(columns)).groupBy("segment").agg(
         F.max_by("k", F.struct("silhouette", -F.col("k"))).alias("k")
     )
-    return assigned.join(best, ["segment", "k"]).drop("v")
+    clustered = cut_lineage(assigned.join(best, ["segment", "k"]).drop("v"))
+    release(vectors, settled, assigned)
+    return clustered, unsettled
+
+
+def cluster_solutions(
+    points: DataFrame, columns: Sequence[str], min_k: int = MIN_K, max_k: int = MAX_K, rounds: int = ROUNDS
+) -> DataFrame:
+    """``settled_clusters`` of segments that must all settle."""
+    clustered, unsettled = settled_clusters(points, columns, min_k, max_k, rounds)
+    if not unsettled.isEmpty():
+        raise ValueError(f"clusters still move after {rounds} rounds")
+    return clustered
 
 
 def balanced_error(criteria: Sequence[str], weights: Sequence[float] = WEIGHTS) -> Column:

@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
+from mediamix.functions.scalars import EPSILON
 from mediamix.grain import join_on
-from mediamix.modelling.search import ModelSpec, _arrays, saturated_rows, segment_series
+from mediamix.modelling.search import ModelSpec, _arrays, saturated_rows, saturated_series, segment_series
 
 KEYS = ["segment", "sol_id"]
 TARGET, FITTED = "dep_var", "depVarHat"
@@ -110,3 +117,144 @@ def fit_metrics(weekly: DataFrame, channels: DataFrame) -> DataFrame:
         "mape",
     )
     return join_on(metrics, share_distances(channels), KEYS, "left")
+
+
+# Solutions of a segment that share one copy of its series.
+TOGETHER = 64
+
+CHANNEL = (
+    "channel string, coef double, effect double, spend double, mean_carryover double, mean_spend_adstocked double, "
+    "effect_share double, spend_share double, roi_total double, mean_spend double, low double, high double"
+)
+SUMMARY = (
+    "segment string, sol_id string, rsq_train double, nrmse double, mape double, decomp_rssd double, "
+    f"baseline_min_weekly double, baseline_mean_weekly double, baseline_pct_mean double, channels array<struct<{CHANNEL.replace(' double', ':double').replace(' string', ':string')}>>"
+)
+
+
+def _solution_blocks(panel: DataFrame, solutions: DataFrame, spec: ModelSpec) -> DataFrame:
+    """(segment, series arrays, solutions): a segment's series once for each block of its solutions."""
+    sizes = solutions.groupBy("segment").agg(F.ceil(F.count("*") / TOGETHER).cast("int").alias("blocks"))
+    one = F.struct("candidate", "sol_id", "intercept", "coef")
+    placed = join_on(solutions, sizes, ["segment"]).withColumn("block", F.pmod(F.xxhash64("candidate"), F.col("blocks")))
+    blocks = placed.groupBy("segment", "block").agg(F.collect_list(one).alias("solutions"))
+    series = segment_series(panel, spec).select("segment", *[c.alias(n) for n, c in _arrays(spec).items()])
+    tasks = int(panel.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return join_on(blocks, series, ["segment"]).repartition(tasks, "segment", "block")
+
+
+def _divided(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.divide(a, b, out=np.zeros(np.broadcast(a, b).shape), where=np.asarray(b) != 0)
+
+
+def _decomposed(row: dict, spec: ModelSpec) -> tuple[np.ndarray, ...]:
+    """y, spend, carryover, its least and highest, and the parts (solutions, components, periods) of a block.
+
+    Components are the channels, the context columns and the intercept.
+    """
+    chosen, media, context = row["solutions"], len(spec.media), len(spec.context)
+    y = np.array(row["y"], float)
+    spend = np.array([row[f"spend_{i}"] for i in range(media)], float).reshape(media, len(y))
+    ctx = np.array([row[f"ctx_{i}"] for i in range(context)], float).reshape(context, len(y))
+    carried, x, low, high = saturated_series(np.array([c["candidate"] for c in chosen]), spend)
+    coef = np.array([c["coef"] for c in chosen], float)
+    constant = np.broadcast_to(np.array([c["intercept"] for c in chosen], float)[:, None, None], (len(chosen), 1, len(y)))
+    parts = np.concatenate([coef[:, :media, None] * x, coef[:, media:, None] * ctx, constant], axis=1)
+    return y, spend, carried, low, high, coef, parts
+
+
+def decompose_solutions(panel: DataFrame, solutions: DataFrame, spec: ModelSpec, not_baseline: Sequence[str]) -> DataFrame:
+    """Fit metrics, baseline measures and channels of chosen solutions, a row each.
+
+    ``solutions``: (segment, sol_id, candidate, intercept, coef). Everything is recomputed
+    from the segment's series and reduced to one row in the task that holds the block, so
+    no weekly rows are written or shuffled for solutions that are not selected. Components
+    that are not in ``not_baseline`` make up the baseline.
+    """
+    schema = StructType.fromDDL(SUMMARY)
+    arrow = to_arrow_schema(schema)
+    names = [*spec.features, "intercept"]
+    media, based = len(spec.media), np.array([c not in not_baseline for c in names])
+
+    def rows(row: dict) -> list[dict]:
+        y, spend, carried, low, high, coef, parts = _decomposed(row, spec)
+        error = y - parts.sum(1)
+        rss, var_y, range_y = (error**2).mean(1), float(y.var()), float(y.max() - y.min())
+        known = y != 0
+        effect, spent = parts[:, :media].sum(2), spend.sum(1)
+        effect_share, spend_share = _divided(effect, effect.sum(1, keepdims=True)), _divided(spent, spent.sum())
+        base = parts[:, based].sum(1)
+        out = []
+        for n, chosen in enumerate(row["solutions"]):
+            channels = [
+                {
+                    "channel": channel,
+                    "coef": coef[n, i],
+                    "effect": effect[n, i],
+                    "spend": spent[i],
+                    "mean_carryover": (carried[n, i] - spend[i]).mean(),
+                    "mean_spend_adstocked": carried[n, i].mean(),
+                    "effect_share": effect_share[n, i],
+                    "spend_share": spend_share[i],
+                    "roi_total": effect[n, i] / spent[i] if spent[i] else 0.0,
+                    "mean_spend": spend[i].mean(),
+                    "low": low[n, i],
+                    "high": high[n, i],
+                }
+                for i, channel in enumerate(spec.channels)
+            ]
+            out.append(
+                {
+                    "segment": row["segment"],
+                    "sol_id": chosen["sol_id"],
+                    "rsq_train": 1 - rss[n] / var_y if var_y else 0.0,
+                    "nrmse": np.sqrt(rss[n]) / range_y if range_y else None,
+                    "mape": np.abs(error[n][known] / y[known]).mean() if known.any() else None,
+                    "decomp_rssd": np.sqrt(((effect_share[n] - spend_share) ** 2).sum()),
+                    "baseline_min_weekly": base[n].min(),
+                    "baseline_mean_weekly": base[n].mean(),
+                    "baseline_pct_mean": (base[n] / (y + EPSILON)).mean(),
+                    "channels": channels,
+                }
+            )
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                yield pa.RecordBatch.from_pylist(rows(row), schema=arrow)
+
+    return _solution_blocks(panel, solutions, spec).mapInArrow(run, schema)
+
+
+def channels_of(summary: DataFrame) -> DataFrame:
+    """(segment, sol_id, channel and its measures) of ``decompose_solutions``."""
+    return summary.select(*KEYS, F.inline("channels"))
+
+
+def weekly_of(panel: DataFrame, solutions: DataFrame, spec: ModelSpec) -> DataFrame:
+    """``weekly_decomposition`` of chosen solutions, recomputed in blocks."""
+    schema = StructType.fromDDL("segment string, sol_id string, date date, component string, value double")
+    arrow = to_arrow_schema(schema)
+    names = [*spec.features, "intercept", TARGET, FITTED]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                y, *_, parts = _decomposed(row, spec)
+                dates = pa.array(row["date"], pa.date32())
+                for chosen, own in zip(row["solutions"], parts):
+                    values = np.concatenate([own, y[None], own.sum(0)[None]])
+                    n = len(names) * len(y)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.repeat(pa.scalar(row["segment"], pa.string()), n),
+                            pa.repeat(pa.scalar(chosen["sol_id"], pa.string()), n),
+                            pa.concat_arrays([dates] * len(names)),
+                            pa.array(np.repeat(names, len(y)).tolist(), pa.string()),
+                            pa.array(values.reshape(-1), pa.float64()),
+                        ],
+                        schema=arrow,
+                    )
+
+    return _solution_blocks(panel, solutions, spec).mapInArrow(run, schema)

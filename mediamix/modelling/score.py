@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mediamix.functions.scalars import EPSILON
 from mediamix.grain import join_on
-from mediamix.modelling.decompose import FITTED, KEYS, TARGET
+from mediamix.modelling.decompose import FITTED, KEYS, TARGET, channels_of
 
 # Score weights and limits.
 WEIGHTS = {
@@ -157,6 +157,16 @@ def notes() -> Column:
     )
 
 
+def measure_summaries(summaries: DataFrame) -> DataFrame:
+    """``measure_solutions`` of ``decompose.decompose_solutions``, which has the baselines already."""
+    base = summaries.select(
+        *KEYS,
+        *["nrmse", "decomp_rssd", "rsq_train", "baseline_min_weekly", "baseline_mean_weekly", "baseline_pct_mean"],
+        (1 - F.col("baseline_pct_mean")).alias("media_contribution_pct"),
+    )
+    return join_on(base, channel_scores(channels_of(summaries)), KEYS, "left")
+
+
 def measure_solutions(
     fits: DataFrame, channels: DataFrame, weekly: DataFrame, not_baseline: Sequence[str]
 ) -> DataFrame:
@@ -192,15 +202,26 @@ def best_models(scores: DataFrame) -> DataFrame:
     return scores.filter(F.col("rank") == 1).select("segment", "sol_id", "score")
 
 
-def winner_params(best: DataFrame, fits: DataFrame, params: DataFrame, channels: DataFrame, exposure_fits: DataFrame) -> DataFrame:
-    """One row per segment: fit metrics, and maps from channel to its parameters.
+def winner_params(
+    best: DataFrame,
+    fits: DataFrame,
+    params: DataFrame,
+    channels: DataFrame,
+    exposure_fits: DataFrame,
+    weekly: DataFrame | None = None,
+    exposures: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """One row per segment: fit metrics, maps from channel to its parameters, weekly series.
 
     ``params``: (segment, sol_id, channel, alpha, gamma, theta).  Maps hold one entry per
-    channel of the model.
+    channel of the model.  ``mm_params`` of a channel without a fit is null; with
+    ``exposures`` (channel to column) it names the exposure column of each fit.  With
+    ``weekly`` (segment, sol_id, date, component, value) the record has ``weekly_decomp``,
+    one entry per date of the calendar in order, components by name.
     """
 
-    def by_channel(name: str, *columns: str) -> Column:
-        entry = F.struct(F.col("channel").alias("key"), F.struct(*columns).alias("value"))
+    def by_channel(name: str, value: Column) -> Column:
+        entry = F.struct(F.col("channel").alias("key"), value.alias("value"))
         return F.map_from_entries(F.array_sort(F.collect_list(entry))).alias(name)
 
     won = best.select(*KEYS)
@@ -209,12 +230,24 @@ def winner_params(best: DataFrame, fits: DataFrame, params: DataFrame, channels:
         .join(params, [*KEYS, "channel"], "left")
         .join(exposure_fits, ["segment", "channel"], "left")
     )
+    names = F.create_map(*[F.lit(x) for item in (exposures or {"": ""}).items() for x in item])
+    merged = merged.withColumn("exposure_col", F.try_element_at(names, F.col("channel")))
+    fitted = F.struct("model_type", "vmax", "km", "coef_lm", "rsq", "exposure_col", "km_ratio", "use_mm", "km_edge")
     maps = merged.groupBy(*KEYS).agg(
-        by_channel("hill_params", "coef", "alpha", "gamma", "theta"),
-        by_channel("mm_params", "model_type", "vmax", "km", "coef_lm", "rsq", "km_ratio", "use_mm"),
-        by_channel("channel_decomp", "roi_total", "effect_share", "spend_share", "mean_carryover", "mean_spend_adstocked"),
+        by_channel("hill_params", F.struct("coef", "alpha", "gamma", "theta")),
+        by_channel("mm_params", F.when(F.col("rsq").isNotNull(), fitted)),
+        by_channel(
+            "channel_decomp", F.struct("roi_total", "effect_share", "spend_share", "mean_carryover", "mean_spend_adstocked")
+        ),
     )
     metrics = fits.join(won, KEYS, "left_semi").select(
         *KEYS, F.struct("rsq_train", "nrmse", "decomp_rssd", "mape").alias("fit_metrics")
     )
-    return metrics.join(maps, KEYS)
+    record = metrics.join(maps, KEYS)
+    if weekly is None:
+        return record
+    entry = F.struct(F.col("component").alias("key"), F.col("value").alias("value"))
+    dates = weekly.join(won, KEYS, "left_semi").groupBy(*KEYS, "date").agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("values"))
+    by_date = lambda a, b: F.when(a["date"] < b["date"], -1).when(a["date"] > b["date"], 1).otherwise(0)
+    series = dates.groupBy(*KEYS).agg(F.array_sort(F.collect_list(F.struct("date", "values")), by_date).alias("weekly_decomp"))
+    return record.join(series, KEYS)

@@ -145,11 +145,14 @@ def hill(value: Column, alpha: Column, gamma: Column, low: Column, high: Column)
 def segment_series(panel: DataFrame, spec: ModelSpec) -> DataFrame:
     """One row per segment with its target, context and spend arrays in date order.
 
+    ``known`` counts the periods with a target; gaps are 0 in the arrays.
     The panel has one row per segment and period, so an array is as long as the calendar.
     """
     numbers = [spec.target, *[c for c, _ in spec.context], *[s for _, s in spec.media]]
     point = F.struct("date", *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in dict.fromkeys(numbers)])
-    return panel.groupBy("segment").agg(F.array_sort(F.collect_list(point)).alias("series"))
+    return panel.groupBy("segment").agg(
+        F.array_sort(F.collect_list(point)).alias("series"), F.count(F.col(spec.target)).cast("int").alias("known")
+    )
 
 
 def _arrays(spec: ModelSpec) -> dict[str, Column]:
@@ -204,46 +207,58 @@ def candidate_blocks(panel: DataFrame, spec: ModelSpec, trials: int, iterations:
     segments = panel.select("segment").distinct().count()
     block = max(1, -(-total // max(1, -(-BLOCKS_PER_TASK * tasks // max(1, segments)))))
     arrays = {n: c for n, c in _arrays(spec).items() if n != "date"}
-    series = segment_series(panel, spec).select("segment", *[c.alias(n) for n, c in arrays.items()])
+    series = segment_series(panel, spec).select("segment", "known", *[c.alias(n) for n, c in arrays.items()])
     blocks = series.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit((total - 1) // block))))
     first = (F.col("block") * block).cast("int")
     return blocks.repartition(tasks, "segment", "block").select(
-        "segment", first.alias("first"), F.least(first + block, F.lit(total)).cast("int").alias("last"), *arrays
+        "segment", first.alias("first"), F.least(first + block, F.lit(total)).cast("int").alias("last"), "known", *arrays
     )
 
 
-FITS = "segment string, candidate int, rsq_train double, nrmse double, decomp_rssd double, intercept double, coef array<double>"
+FITS = "segment string, candidate int, rsq_train double, nrmse double, decomp_rssd double, intercept double, coef array<double>, error string"
 # Candidates whose series are in memory at a time, and that are solved at a time.
 CHUNK, SOLVED = 64, 1024
 # Sweeps after which a fit that still moves is an error.
 SWEEPS = 100_000
 
 
-def _fitter(spec: ModelSpec, ridge: float):
+def saturated_series(numbers: np.ndarray, spend: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Carryover and its saturation (candidates, media, periods) of the candidates ``numbers``.
+
+    Also the least and the highest carryover of each. ``spend`` is (media, periods).
+    """
+    point = {name: np.outer(numbers + 1.0, [_irrational(3 * i + place) for i in range(len(spend))]) for place, name in enumerate(BOUNDS)}
+    theta, alpha, gamma = (BOUNDS[p][0] + (BOUNDS[p][1] - BOUNDS[p][0]) * (point[p] - np.floor(point[p])) for p in BOUNDS)
+    carried = np.empty((len(numbers), *spend.shape))
+    before = np.zeros((len(numbers), len(spend)))
+    for t in range(spend.shape[1]):
+        before = spend[:, t] + theta * before
+        carried[:, :, t] = before
+    least, most = carried.min(2), carried.max(2)
+    top = carried ** alpha[:, :, None]
+    whole = top + ((least + gamma * (most - least)) ** alpha)[:, :, None]
+    return carried, np.divide(top, whole, out=np.zeros_like(top), where=whole > 0), least, most
+
+
+def _defect(known: int, y: np.ndarray, context: np.ndarray, spend: np.ndarray) -> str | None:
+    """Why a segment cannot be modelled, if it cannot."""
+    if not known:
+        return "no target value"
+    for name, values in (("target", y), ("context", context), ("spend", spend)):
+        if not np.isfinite(values).all():
+            return f"{name} is not finite"
+    return "target does not vary" if y.min() == y.max() else None
+
+
+def _fitter(spec: ModelSpec, ridge: float, report: bool):
     """Function from Arrow batches of ``candidate_blocks`` to batches of fits.
 
-    Helpers are local so that workers need numpy and pyarrow but not this package.
+    With ``report`` a block that cannot be fitted becomes one row with its error.
     """
     n_media, n_context, chunk, solved, most_sweeps = len(spec.media), len(spec.context), CHUNK, SOLVED, SWEEPS
     signs = ["positive"] * n_media + [s for _, s in spec.context]
     low = np.array([0.0 if s == "positive" else -np.inf for s in signs])
     high = np.array([0.0 if s == "negative" else np.inf for s in signs])
-    steps = {name: np.array([_irrational(3 * i + place) for i in range(n_media)]) for place, name in enumerate(BOUNDS)}
-    bounds = dict(BOUNDS)
-
-    def saturated(numbers: np.ndarray, spend: np.ndarray) -> np.ndarray:
-        """Saturated carryover (candidates, media, periods) of the candidates ``numbers``."""
-        point = {name: np.outer(numbers + 1.0, step) for name, step in steps.items()}
-        theta, alpha, gamma = (bounds[p][0] + (bounds[p][1] - bounds[p][0]) * (point[p] - np.floor(point[p])) for p in bounds)
-        carried = np.empty((len(numbers), *spend.shape))
-        before = np.zeros((len(numbers), n_media))
-        for t in range(spend.shape[1]):
-            before = spend[:, t] + theta * before
-            carried[:, :, t] = before
-        least, most = carried.min(2), carried.max(2)
-        top = carried ** alpha[:, :, None]
-        whole = top + ((least + gamma * (most - least)) ** alpha)[:, :, None]
-        return np.divide(top, whole, out=np.zeros_like(top), where=whole > 0)
 
     def bounded_ridge(gram: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Coordinate descent for many small ridge problems at once, within the bounds.
@@ -274,7 +289,7 @@ def _fitter(spec: ModelSpec, ridge: float):
         mean, cov, cross = np.empty((last - first, k)), np.empty((last - first, k, k)), np.empty((last - first, k))
         centred_y = y - y.mean()
         for at in range(0, last - first, chunk):
-            x = saturated(numbers[at : at + chunk], spend)
+            x = saturated_series(numbers[at : at + chunk], spend)[1]
             x = np.concatenate([x, np.broadcast_to(context, (len(x), *context.shape))], axis=1)
             mean[at : at + chunk] = x.mean(2)
             x = x - x.mean(2, keepdims=True)
@@ -297,20 +312,43 @@ def _fitter(spec: ModelSpec, ridge: float):
         return list(zip([segment] * len(rss), numbers.tolist(), rsq.tolist(), error, distance.tolist(), intercept.tolist(), coef.tolist()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["segment", "candidate", "rsq_train", "nrmse", "decomp_rssd", "intercept", "coef"]
-        types = [pa.string(), pa.int32(), pa.float64(), pa.float64(), pa.float64(), pa.float64(), pa.list_(pa.float64())]
+        names = ["segment", "candidate", "rsq_train", "nrmse", "decomp_rssd", "intercept", "coef", "error"]
+        types = [pa.string(), pa.int32(), pa.float64(), pa.float64(), pa.float64(), pa.float64(), pa.list_(pa.float64()), pa.string()]
+
+        def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+
         for batch in batches:
             for row in batch.to_pylist():
                 y = np.array(row["y"], float)
                 context = np.array([row[f"ctx_{i}"] for i in range(n_context)], float).reshape(n_context, len(y))
                 spend = np.array([row[f"spend_{i}"] for i in range(n_media)], float).reshape(n_media, len(y))
-                for at in range(row["first"], row["last"], solved):
-                    rows = fits(row["segment"], at, min(at + solved, row["last"]), y, context, spend)
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+                error = _defect(row["known"], y, context, spend) if report else None
+                for at in range(row["first"], row["last"] if error is None else row["first"], solved):
+                    try:
+                        rows = fits(row["segment"], at, min(at + solved, row["last"]), y, context, spend)
+                    except ValueError as failure:
+                        if not report:
+                            raise
+                        error = str(failure)
+                        break
+                    yield batch_of([(*r, None) for r in rows])
+                if error is not None:
+                    yield batch_of([(row["segment"], *[None] * 6, error)])
 
     return run
 
 
+def search_report(panel: DataFrame, spec: ModelSpec, trials: int = TRIALS, iterations: int = ITERATIONS, ridge: float = 0.01) -> DataFrame:
+    """``search_candidates`` with ``error``: a segment that cannot be fitted has rows with that only.
+
+    Such a segment has no value or no change in its target, a number that is not finite, or
+    fits that do not settle. It costs the other segments nothing.
+    """
+    fits = candidate_blocks(panel, spec, trials, iterations).mapInArrow(_fitter(spec, ridge, True), FITS)
+    return fits.withColumn("sol_id", solution_id(F.col("candidate"), iterations))
+
+
 def search_candidates(
     panel: DataFrame,
     spec: ModelSpec,
@@ -325,5 +363,5 @@ def search_candidates(
     the task that holds its block; moments are taken about the mean, in numpy on bounded
     chunks, and weekly rows of candidates are never made.
     """
-    fits = candidate_blocks(panel, spec, trials, iterations).mapInArrow(_fitter(spec, ridge), FITS)
-    return fits.withColumn("sol_id", solution_id(F.col("candidate"), iterations))
+    fits = candidate_blocks(panel, spec, trials, iterations).mapInArrow(_fitter(spec, ridge, False), FITS)
+    return fits.drop("error").withColumn("sol_id", solution_id(F.col("candidate"), iterations))

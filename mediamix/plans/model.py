@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from mediamix.modelling import budget, cluster, decompose, exposure_fit, features, pareto, score, search
 from mediamix.modelling.search import ModelSpec
-from mediamix.session import cut_lineage
+from mediamix.session import cut_lineage, release
 
 
 @dataclass(frozen=True)
@@ -29,7 +29,11 @@ class SearchOptions:
 
 @dataclass(frozen=True)
 class Selection:
-    """What the modelling stage leaves behind, each frame keyed by segment."""
+    """What the modelling stage leaves behind, each frame keyed by segment.
+
+    ``weekly`` and ``channels`` are those of the cluster winners. ``failures`` (segment,
+    step, reason) names every segment of the panel that has no best model.
+    """
 
     fits: DataFrame
     solutions: DataFrame
@@ -40,6 +44,7 @@ class Selection:
     params: DataFrame
     curves: DataFrame
     scenarios: DataFrame
+    failures: DataFrame
 
 
 def with_time_features(panel: DataFrame, holidays: DataFrame, spec: ModelSpec, options: SearchOptions = SearchOptions()) -> tuple[DataFrame, ModelSpec]:
@@ -74,72 +79,82 @@ def parameter_columns(solutions: DataFrame, channels: Sequence[str]) -> tuple[Da
     return solutions.withColumns(columns), list(columns)
 
 
-def curve_params(params: DataFrame, rows: DataFrame, spec: ModelSpec) -> DataFrame:
+def curve_params(params: DataFrame, channels: DataFrame) -> DataFrame:
     """What response curves need: mean spend, coefficient and half-saturation per channel."""
-    media = decompose.media_rows(rows, spec)
-    levels = media.groupBy("segment", "sol_id", "channel").agg(
-        F.avg("spend").alias("mean_spend"),
-        F.max("coef").alias("coef"),
-        F.min("adstocked").alias("low"),
-        F.max("adstocked").alias("high"),
-    )
-    return params.join(levels, ["segment", "sol_id", "channel"]).withColumn(
+    levels = channels.select(*decompose.KEYS, "channel", "mean_spend", "coef", "low", "high")
+    return params.join(levels, [*decompose.KEYS, "channel"]).withColumn(
         "half", F.col("low") + F.col("gamma") * (F.col("high") - F.col("low"))
     )
 
 
+def _lost(before: DataFrame, after: DataFrame, step: str, reason: str) -> DataFrame:
+    """(segment, step, reason) of the segments that a step left nothing of."""
+    gone = before.select("segment").distinct().join(after.select("segment").distinct(), "segment", "left_anti")
+    return gone.select("segment", F.lit(step).alias("step"), F.lit(reason).alias("reason"))
+
+
 def select_models(
     panel: DataFrame,
     spec: ModelSpec,
     media: DataFrame,
     holidays: DataFrame | None = None,
     options: SearchOptions = SearchOptions(),
+    exposures: Mapping[str, str] | None = None,
 ) -> Selection:
     """Search every segment at once and select a model for each.
 
     Each step writes its small result to the checkpoint folder, so a lost executor costs
     the step it interrupts.  ``media`` is the long (segment, date, channel, spend,
-    exposure) panel.
+    exposure) panel; ``exposures`` names the exposure column of a channel in the winner's
+    record.  A segment that a step fails for is left out of the later ones and listed in
+    ``failures``; the others are not touched.
     """
     controls = [c for c, _ in spec.context]
     if holidays is not None:
         panel, spec = with_time_features(panel, holidays, spec, options)
-    panel = cut_lineage(panel)
-    fits = cut_lineage(search.search_candidates(panel, spec, options.trials, options.iterations, options.ridge))
-    front = pareto.pareto_fronts(fits, options.fronts, options.min_candidates)
-
-    rows = cut_lineage(decompose.solution_rows(panel, front, spec))
-    weekly = decompose.weekly_decomposition(rows, spec)
-    channels = cut_lineage(decompose.channel_decomposition(decompose.media_rows(rows, spec)))
-    measured = decompose.fit_metrics(weekly, channels)
+    panel = cut_lineage(panel.filter(F.col("segment").isNotNull()))
+    found = cut_lineage(search.search_report(panel, spec, options.trials, options.iterations, options.ridge))
+    failed = found.filter(F.col("error").isNotNull()).groupBy("segment").agg(F.lit("search").alias("step"), F.min("error").alias("reason"))
+    fits = found.filter(F.col("error").isNull()).drop("error").join(failed, "segment", "left_anti")
+    front = cut_lineage(pareto.pareto_fronts(fits, options.fronts, options.min_candidates))
+    failures = failed.unionByName(_lost(fits, front, "fronts", "no candidate has both criteria"))
+
+    not_baseline = [*spec.channels, *controls]
+    summaries = cut_lineage(decompose.decompose_solutions(panel, front, spec, not_baseline))
+    measured = summaries.select(*decompose.KEYS, "rsq_train", "nrmse", "mape", "decomp_rssd")
     solutions = cut_lineage(front.drop("rsq_train", "nrmse", "decomp_rssd").join(measured, decompose.KEYS))
 
     columned, names = parameter_columns(solutions, spec.channels)
-    clustered = cluster.cluster_solutions(columned, names, options.min_k, options.max_k)
+    clustered, unsettled = cluster.settled_clusters(columned, names, options.min_k, options.max_k)
     winners = cut_lineage(cluster.cluster_winners(clustered))
+    reason = F.lit(f"clusters still move after {cluster.ROUNDS} rounds")
+    failures = failures.unionByName(unsettled.select("segment", F.lit("clusters").alias("step"), reason.alias("reason")))
     top = solutions.join(winners, decompose.KEYS, "left_semi")
-    top_channels = channels.join(winners, decompose.KEYS, "left_semi")
-    top_weekly = weekly.join(winners, decompose.KEYS, "left_semi")
+    top_summaries = summaries.join(winners, decompose.KEYS, "left_semi")
+    channels = cut_lineage(decompose.channels_of(top_summaries))
 
-    not_baseline = [*spec.channels, *controls]
-    measures = score.measure_solutions(top, top_channels, top_weekly, not_baseline)
-    scores = cut_lineage(score.model_scores(measures))
-    best = score.best_models(scores)
+    scores = cut_lineage(score.model_scores(score.measure_summaries(top_summaries)))
+    best = cut_lineage(score.best_models(scores))
+    failures = failures.unionByName(_lost(winners, best, "scores", "no solution has a score"))
 
     chosen = solutions.join(best, decompose.KEYS, "left_semi")
     params = candidate_params(chosen, spec.channels)
     used = exposure_fit.mm_use_flag(exposure_fit.mm_fit(media))
-    extracted = score.winner_params(best, solutions, params, channels, used)
-    best_rows = rows.join(best, decompose.KEYS, "left_semi")
-    curves = cut_lineage(budget.response_curves(curve_params(params, best_rows, spec), reach=options.reach))
+    weekly = cut_lineage(decompose.weekly_of(panel, top, spec))
+    extracted = cut_lineage(score.winner_params(best, solutions, params, channels, used, weekly, exposures))
+    curves = cut_lineage(budget.response_curves(curve_params(params, channels.join(best, decompose.KEYS, "left_semi")), reach=options.reach))
+    failures = cut_lineage(failures)
+    # what nothing that is returned still reads
+    release(panel, front, summaries, clustered, winners)
     return Selection(
         fits=fits,
         solutions=solutions,
-        weekly=top_weekly,
-        channels=top_channels,
+        weekly=weekly,
+        channels=channels,
         scores=scores,
         best=best,
         params=extracted,
         curves=curves,
         scenarios=budget.budget_scenarios(curves),
+        failures=failures,
     )

@@ -123,11 +123,33 @@ def candidate_fits(spark: SparkSession, d: str) -> DataFrame:
     return search.search_candidates(cut_lineage(panel), spec)
 
 
+# Selections by session and folder: their tables are written, and several queries show parts of one.
+_SELECTED: dict[tuple[str, str], Selection] = {}
+
+
 def selection(spark: SparkSession, d: str) -> Selection:
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _SELECTED:
+        panel, spec = panel_spec(spark, d)
+        panel = cut_lineage(panel)
+        exposures = {c: e for c, _, e in MEDIA}
+        _SELECTED[key] = select_models(panel, spec, features.media_long(panel, MEDIA), exposures=exposures)
+    return _SELECTED[key]
+
+
+def spoilt_panel(spark: SparkSession, d: str) -> tuple[DataFrame, ModelSpec]:
+    """The panel with the target of two regions spoilt: one has none, the other never varies."""
     panel, spec = panel_spec(spark, d)
-    panel = cut_lineage(panel)
-    options = SearchOptions(trials=2, iterations=10, min_candidates=6)
-    return select_models(panel, spec, features.media_long(panel, MEDIA), options=options)
+    region = F.split("segment", "_")[0]
+    target = F.when(region == "ASIA", F.lit(None)).when(region == "EUROPE", 7.0).otherwise(F.col(spec.target))
+    return panel.withColumn(spec.target, target.cast("double")), spec
+
+
+def quarantined_segments(spark: SparkSession, d: str) -> DataFrame:
+    """Segments that the search reports instead of failing for all."""
+    panel, spec = spoilt_panel(spark, d)
+    found = search.search_report(cut_lineage(panel), spec)
+    return found.filter(F.col("error").isNotNull()).select("segment", F.col("error").alias("reason")).distinct()
 
 
 def clustered(spark: SparkSession, d: str) -> DataFrame:
@@ -253,8 +275,8 @@ S["time_features"] = rounded_sql(
     ),
     ["sales_qty", "trend", "season_sin", "season_cos", "holiday"],
 )
-Q["candidate_grid"] = lambda s, d: rounded(search.candidate_grid(all_segments(s, d), CHANNELS, iterations=100), 8)
-S["candidate_grid"] = rounded_sql(_on_media(_grid_sql(search.TRIALS, 100)), list(BOUNDS), 8)
+Q["candidate_grid"] = lambda s, d: rounded(search.candidate_grid(all_segments(s, d), CHANNELS), 8)
+S["candidate_grid"] = rounded_sql(_on_media(_grid_sql(search.TRIALS, search.ITERATIONS)), list(BOUNDS), 8)
 Q["adstock_geometric"] = lambda s, d: rounded(carried(s, d).select("segment", "sol_id", "channel", "date", "spend", "adstocked"), 3)
 S["adstock_geometric"] = rounded_sql(_on_media("SELECT segment, sol_id, channel, date, spend, adstocked FROM carried", _carried), ["spend", "adstocked"], 3)
 Q["hill_saturation"] = lambda s, d: rounded(saturated(s, d).select("segment", "sol_id", "channel", "date", "x"), 6)
@@ -313,4 +335,11 @@ Q["response_curves"] = lambda s, d: rounded(budget.response_curves(curve_inputs(
 S["response_curves"] = rounded_sql(CURVES_SQL, ["mean_spend", "spend", "response", "marginal"])
 Q["budget_scenarios"] = lambda s, d: budget.budget_scenarios(budget.response_curves(curve_inputs(s, d)))
 Q["segment_selection"] = lambda s, d: selection(s, d).best
-Q["winner_params"] = lambda s, d: selection(s, d).params.select(F.to_json(F.struct("*")).alias("params"))
+Q["winner_weekly"] = lambda s, d: rounded(
+    selection(s, d).params.select("segment", "sol_id", F.inline("weekly_decomp")).select("segment", "sol_id", "date", F.explode("values").alias("component", "value")), 3
+)
+Q["quarantined_segments"] = quarantined_segments
+S["quarantined_segments"] = _on_media(
+    "SELECT DISTINCT segment, CASE split_part(segment, '_', 1) WHEN 'ASIA' THEN 'no target value' ELSE 'target does not vary' END AS reason FROM media WHERE split_part(segment, '_', 1) IN ('ASIA', 'EUROPE')"
+)
+Q["winner_params"] = lambda s, d: selection(s, d).params.drop("weekly_decomp").select(F.to_json(F.struct("*")).alias("params"))

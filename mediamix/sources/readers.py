@@ -61,3 +61,18 @@ def read_processed_catalog(spark: SparkSession, path: str) -> DataFrame:
     kept = [f for f in T.StructType.fromDDL(schema).fields if f.name in found]
     ordered = T.StructType([next(f for f in kept if f.name == c) for c in found if c in {k.name for k in kept}])
     return spark.read.option("header", True).schema(ordered).csv(path).withColumn("channel", F.nullif("channel", F.lit("")))
+
+
+#: Winner's record as ``sinks.write_params`` writes it; maps by channel, series by date.
+PARAMS = (
+    "segment string, sol_id string, fit_metrics struct<rsq_train:double,nrmse:double,decomp_rssd:double,mape:double>, "
+    "hill_params map<string,struct<coef:double,alpha:double,gamma:double,theta:double>>, "
+    "mm_params map<string,struct<model_type:string,vmax:double,km:double,coef_lm:double,rsq:double,exposure_col:string,km_ratio:double,use_mm:boolean,km_edge:string>>, "
+    "channel_decomp map<string,struct<roi_total:double,effect_share:double,spend_share:double,mean_carryover:double,mean_spend_adstocked:double>>, "
+    "weekly_decomp array<struct<date:date,values:map<string,double>>>"
+)
+
+
+def read_params(spark: SparkSession, path: str) -> DataFrame:
+    """Winners' records, one per segment."""
+    return spark.read.schema(PARAMS).json(path)

@@ -37,6 +37,16 @@ def write_selections(best: DataFrame, path: str) -> None:
     best.select("segment", "sol_id", "score").write.mode("overwrite").json(path)
 
 
+def write_scores(scores: DataFrame, path: str) -> None:
+    """One row per scored solution with all measures, parts, notes and its rank."""
+    scores.write.mode("overwrite").parquet(path)
+
+
+def write_weekly(weekly: DataFrame, path: str) -> None:
+    """Weekly series of solutions (segment, sol_id, date, component, value), a folder per segment."""
+    weekly.repartition("segment").sortWithinPartitions("segment", "sol_id", "date").write.mode("overwrite").partitionBy("segment").parquet(path)
+
+
 def write_params(params: DataFrame, path: str) -> None:
     """One JSON row per segment with the winner's parameters."""
     params.select(F.to_json(F.struct("*")).alias("value")).write.mode("overwrite").text(path)
