@@ -32,10 +32,10 @@ class Frequency(Enum):
 
 # Accepted spellings of each frequency.
 ALIASES = {
-    Frequency.DAY: "d day daily",
-    Frequency.WEEK: "w-sun w week weekly",
-    Frequency.MONTH: "m month monthly",
-    Frequency.QUARTER: "q a quarter quartely quart quarterly",
+    Frequency.DAY: ["d", "day", "daily"],
+    Frequency.WEEK: ["w-sun", "w", "week", "weekly"],
+    Frequency.MONTH: ["m", "month", "monthly"],
+    Frequency.QUARTER: ["q", "a", "quarter", "quartely", "quart", "quarterly"],
 }
 
 
@@ -46,7 +46,7 @@ def parse_frequency(name: str | Frequency) -> Frequency:
         raise ValueError("frequency must be a string")
     wanted = name.strip().lower()
     for frequency, spellings in ALIASES.items():
-        if wanted in spellings.split():
+        if wanted in spellings:
             return frequency
     raise ValueError(f"unknown frequency {name!r}; use daily, weekly, monthly or quarterly")
 

@@ -61,8 +61,13 @@ def concave_steps(curves: DataFrame) -> DataFrame:
     )
 
 
+def _part(left: Column, size: Column) -> Column:
+    """Part of a step that is bought where ``left`` is what remains after all of it."""
+    return F.least(F.greatest(1 + F.coalesce(F.try_divide(left, size), F.lit(0.0)), F.lit(0.0)), F.lit(1.0))
+
+
 def budget_scenarios(curves: DataFrame) -> DataFrame:
-    """(segment, scenario, channel, steps, spend, response, at_limit).
+    """(segment, scenario, channel, steps, spend, response, at_limit, bound).
 
     A channel can get at most what its curve reaches, ``reach`` times its mean spend;
     ``at_limit`` marks channels that get all of it and might gain from more.
@@ -70,6 +75,11 @@ def budget_scenarios(curves: DataFrame) -> DataFrame:
     ``max_response`` spends the current budget where it gains most; ``min_spend`` reaches
     the current response with the least spend.  Steps are bought per segment in order of
     gain per unit of spend; a segment has channels times steps of them.
+
+    ``bound`` is what no allocation along the concave envelopes can better, steps divided or
+    not: the highest response of the segment's budget, or the least spend for its response.
+    Bought in order of gain, with a part of the last step, it is the optimum itself; whole
+    steps are off by less than one.
     """
     steps = concave_steps(curves).filter(F.col("step") > 0)
     cost = F.col("spend") / F.col("step")
@@ -94,13 +104,17 @@ def budget_scenarios(curves: DataFrame) -> DataFrame:
     slack = 1e-9
     scenarios = F.array(
         F.struct(
-            F.lit("max_response").alias("scenario"), (F.col("spent") <= F.col("budget") * (1 + slack)).alias("taken")
+            F.lit("max_response").alias("scenario"),
+            (F.col("spent") <= F.col("budget") * (1 + slack)).alias("taken"),
+            (_part(F.col("budget") - F.col("spent"), F.col("cost")) * F.col("gain")).alias("best"),
         ),
         F.struct(
             F.lit("min_spend").alias("scenario"),
             (F.col("reached") - F.col("gain") < F.col("target") * (1 - slack)).alias("taken"),
+            (_part(F.col("target") - F.col("reached"), F.col("gain")) * F.col("cost")).alias("best"),
         ),
     )
+    whole = Window.partitionBy("segment", "scenario")
     return (
         bought.select("segment", "channel", "step", "cost", "gain", F.inline(scenarios))
         .groupBy("segment", "scenario", "channel")
@@ -109,5 +123,8 @@ def budget_scenarios(curves: DataFrame) -> DataFrame:
             (F.count_if("taken") == F.count("*")).alias("at_limit"),
             F.sum(F.when(F.col("taken"), F.col("cost")).otherwise(0.0)).alias("spend"),
             F.sum(F.when(F.col("taken"), F.col("gain")).otherwise(0.0)).alias("response"),
+            F.sum("best").alias("best"),
         )
+        .withColumn("bound", F.sum("best").over(whole))
+        .drop("best")
     )

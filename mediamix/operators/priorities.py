@@ -1,9 +1,8 @@
-"""Keyword priorities of channels, as plain text tables.
+"""Keyword priorities of channels.
 
-Each line is ``channel key: keyword, keyword > keyword, ...``: earlier keywords rank
-before later ones, ``>`` separates groups.  The first key, in the order given, that is
-part of a channel's name applies to it.  Plural forms are left out where the singular,
-being part of the plural, already matches.
+The first key of a table, in the order given, that is part of a channel's name applies to
+it. Keywords of earlier groups rank before those of later ones, and within a group in the
+order given.
 """
 
 from __future__ import annotations
@@ -14,113 +13,131 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Exposure priorities.
-EXPOSURE = """
-email: delivered, delivery > sent, send > open > click, clk
-sms: delivered, delivery > sent, send > click, clk
-whatsapp: delivered, delivery > sent, send > read, seen > click, clk
-push: delivered, delivery > sent, send > open > click, clk
-inapp: delivered, shown, impression > click, clk
-notification: delivered, shown > open
-tv: grp, trp
-television: grp, trp
-cable: grp, trp
-satellite: grp, trp
-ott: view, complete, completion > impression, impr
-ctv: view > impression
-connectedtv: view > impression
-youtube: view > impression
-display: impression, impr, imp
-programmatic: impression, impr, imp
-native: impression
-banner: impression
-richmedia: impression, interaction
-retargeting: impression > click, clk
-social: reach > impression, impr > engagement, engage
-facebook: reach > impression > engagement
-instagram: reach > impression > engagement
-meta: reach > impression > engagement
-twitter: reach > impression > engagement
-x: reach > impression
-linkedin: reach > impression > click, clk
-snapchat: reach > impression > view
-pinterest: reach > impression > click, clk
-reddit: impression > engagement
-search: click, clk
-sem: click, clk
-ppc: click, clk
-googleads: click, clk
-bing: click, clk
-yahoo: click, clk
-ecom: click, clk > pdp, product, detail
-ecommerce: click, clk > pdp
-marketplace: click, clk > pdp
-amazon: click, clk > pdp, detail_page, dpv
-flipkart: click, clk > pdp
-myntra: click, clk > pdp
-ajio: click, clk > pdp
-meesho: click, clk > pdp
-swiggy: click, clk > menu_view, pdp
-zomato: click, clk > menu_view
-blinkit: click, clk > product_view
-instamart: click, clk > product_view
-bigbasket: click, clk > product_view
-print: circulation > reach
-newspaper: circulation > reach
-magazine: circulation > reach
-journal: circulation > reach
-radio: grp, trp
-fm: grp, trp
-audio: impression, listen
-spotify: listen, impression
-gaana: listen, impression
-jiosaavn: listen, impression
-ooh: reach > footfall, traffic
-dooh: reach > footfall
-outdoor: reach > footfall
-hoarding: reach > traffic
-metro: footfall > reach
-airport: footfall > reach
-mall: footfall > reach
-transit: footfall > reach
-influencer: view > engagement, engage > click, clk
-creator: view > engagement
-affiliate: click, clk > conversion
-partner: click, clk > lead
-event: footfall, attendance > lead
-activation: footfall > sampling
-roadshow: footfall > lead
-expo: attendance > lead
-callcenter: connected, answered > call > lead
-telesales: connected > conversion
-ivr: connected > call
-"""
-EXPOSURE_DEFAULT = "impression, impr, imp > reach > grp, trp > view > click, clk"
+EXPOSURE = {
+    # direct communication
+    "email": [["delivered", "delivery"], ["sent", "send"], ["open", "opens"], ["click", "clicks", "clk", "clks"]],
+    "sms": [["delivered", "delivery"], ["sent", "send"], ["click", "clicks", "clk", "clks"]],
+    "whatsapp": [["delivered", "delivery"], ["sent", "send"], ["read", "seen"], ["click", "clicks", "clk", "clks"]],
+    "push": [["delivered", "delivery"], ["sent", "send"], ["open", "opens"], ["click", "clicks", "clk", "clks"]],
+    "inapp": [["delivered", "shown", "impression"], ["click", "clicks", "clk", "clks"]],
+    "notification": [["delivered", "shown"], ["open", "opens"]],
+    # television and video
+    "tv": [["grp", "trp"]],
+    "television": [["grp", "trp"]],
+    "cable": [["grp", "trp"]],
+    "satellite": [["grp", "trp"]],
+    "ott": [["view", "views", "complete", "completion"], ["impression", "impr"]],
+    "ctv": [["view", "views"], ["impression"]],
+    "connectedtv": [["view", "views"], ["impression"]],
+    "youtube": [["view", "views"], ["impression"]],
+    # display
+    "display": [["impression", "impr", "imp"]],
+    "programmatic": [["impression", "impr", "imp"]],
+    "native": [["impression"]],
+    "banner": [["impression"]],
+    "richmedia": [["impression", "interaction"]],
+    "retargeting": [["impression"], ["click", "clicks", "clk", "clks"]],
+    # social media
+    "social": [["reach"], ["impression", "impr"], ["engagement", "engage"]],
+    "facebook": [["reach"], ["impression"], ["engagement"]],
+    "instagram": [["reach"], ["impression"], ["engagement"]],
+    "meta": [["reach"], ["impression"], ["engagement"]],
+    "twitter": [["reach"], ["impression"], ["engagement"]],
+    "x": [["reach"], ["impression"]],
+    "linkedin": [["reach"], ["impression"], ["click", "clicks", "clk", "clks"]],
+    "snapchat": [["reach"], ["impression"], ["view"]],
+    "pinterest": [["reach"], ["impression"], ["click", "clk", "clks", "clicks"]],
+    "reddit": [["impression"], ["engagement"]],
+    # search
+    "search": [["click", "clicks", "clk", "clks"]],
+    "sem": [["click", "clicks", "clk", "clks"]],
+    "ppc": [["click", "clicks", "clk", "clks"]],
+    "googleads": [["click", "clicks", "clk", "clks"]],
+    "bing": [["click", "clicks", "clk", "clks"]],
+    "yahoo": [["click", "clicks", "clk", "clks"]],
+    # retail media
+    "ecom": [["click", "clicks", "clk", "clks"], ["pdp", "product", "detail"]],
+    "ecommerce": [["click", "clicks", "clk", "clks"], ["pdp"]],
+    "marketplace": [["click", "clk", "clks", "clicks"], ["pdp"]],
+    "amazon": [["click", "clicks", "clk", "clks"], ["pdp", "detail_page", "dpv"]],
+    "flipkart": [["click", "clicks", "clk", "clks"], ["pdp"]],
+    "myntra": [["click", "clicks", "clk", "clks"], ["pdp"]],
+    "ajio": [["click", "clicks", "clk", "clks"], ["pdp"]],
+    "meesho": [["click", "clicks", "clk", "clks"], ["pdp"]],
+    "swiggy": [["click", "clicks", "clk", "clks"], ["menu_view", "pdp"]],
+    "zomato": [["click", "clicks", "clk", "clks"], ["menu_view"]],
+    "blinkit": [["click", "clk", "clks", "clicks"], ["product_view"]],
+    "instamart": [["click", "clk", "clks", "clicks"], ["product_view"]],
+    "bigbasket": [["click", "clk", "clks", "clicks"], ["product_view"]],
+    # print
+    "print": [["circulation"], ["reach"]],
+    "newspaper": [["circulation"], ["reach"]],
+    "magazine": [["circulation"], ["reach"]],
+    "journal": [["circulation"], ["reach"]],
+    # radio and audio
+    "radio": [["grp", "trp"]],
+    "fm": [["grp", "trp"]],
+    "audio": [["impression", "listen"]],
+    "spotify": [["listen", "impression"]],
+    "gaana": [["listen", "impression"]],
+    "jiosaavn": [["listen", "impression"]],
+    # out of home
+    "ooh": [["reach"], ["footfall", "traffic"]],
+    "dooh": [["reach"], ["footfall"]],
+    "outdoor": [["reach"], ["footfall"]],
+    "hoarding": [["reach"], ["traffic"]],
+    "metro": [["footfall"], ["reach"]],
+    "airport": [["footfall"], ["reach"]],
+    "mall": [["footfall"], ["reach"]],
+    "transit": [["footfall"], ["reach"]],
+    # partners
+    "influencer": [["view", "views"], ["engagement", "engage"], ["click", "clk", "clks", "clicks"]],
+    "creator": [["view"], ["engagement"]],
+    "affiliate": [["click", "clicks", "clk", "clks"], ["conversion"]],
+    "partner": [["click", "clk", "clks", "clicks"], ["lead"]],
+    # events
+    "event": [["footfall", "attendance"], ["lead"]],
+    "activation": [["footfall"], ["sampling"]],
+    "roadshow": [["footfall"], ["lead"]],
+    "expo": [["attendance"], ["lead"]],
+    # telephone
+    "callcenter": [["connected", "answered"], ["call", "calls"], ["lead"]],
+    "telesales": [["connected"], ["conversion"]],
+    "ivr": [["connected"], ["call"]],
+}
+EXPOSURE_DEFAULT = [["impression", "impr", "imp"], ["reach"], ["grp", "trp"], ["view", "views"], ["click", "clicks", "clk", "clks"]]
 
 # Response priorities; a channel key without keywords keeps catalogue order.
-RESPONSE = """
-email: conversion, purchase, order > click, clk > open, read
-sms: conversion, order > click, clk
-whatsapp: conversion > click, clk > open, read
-tv:
-radio:
-print:
-ooh:
-display: conversion > engagement > click, clk
-social: conversion > engagement > click, clk
-facebook: conversion > engagement > click, clk
-instagram: conversion > engagement > click, clk
-search: conversion, order > engagement > click, clk
-sem: conversion > engagement > click, clk
-amazon: order, sale > pdp, product_view
-flipkart: order > pdp
-ecommerce: order, purchase > pdp > engagement > click, clk
-influencer: conversion > engagement > click, clk
-affiliate: conversion > engagement > click, clk
-"""
-RESPONSE_DEFAULT = "order, conversion, sale > engagement > click, clk > impression"
+# ``Product Detail Page`` has capitals and so never meets a name, which is compared in lower case.
+RESPONSE = {
+    "email": [["conversion", "purchase", "order"], ["click", "clk", "clks", "clicks"], ["open", "read"]],
+    "sms": [["conversion", "order"], ["click", "clk", "clks", "clicks"]],
+    "whatsapp": [["conversion"], ["click", "clk", "clks", "clicks"], ["open", "read"]],
+    "tv": [],
+    "radio": [],
+    "print": [],
+    "ooh": [],
+    "display": [["conversion"], ["engagement"], ["click", "clk", "clks", "clicks"]],
+    "social": [["conversion"], ["engagement"], ["click", "clk", "clks", "clicks"]],
+    "facebook": [["conversion"], ["engagement"], ["click", "clk", "clks", "clicks"]],
+    "instagram": [["conversion"], ["engagement"], ["click", "clk", "clks", "clicks"]],
+    "search": [["conversion", "order"], ["engagement"], ["click", "clk", "clks", "clicks"]],
+    "sem": [["conversion"], ["engagement"], ["click", "clk", "clks", "clicks"]],
+    "amazon": [["order", "sale"], ["pdp", "product_view"]],
+    "flipkart": [["order"], ["pdp"]],
+    "ecommerce": [["order", "purchase"], ["pdp", "Product Detail Page"], ["engagement"], ["click", "clk", "clks", "clicks"]],
+    "influencer": [["conversion"], ["engagement"], ["click", "clk", "clks", "clicks"]],
+    "affiliate": [["conversion"], ["engagement"], ["click", "clk", "clks", "clicks"]],
+}
+RESPONSE_DEFAULT = [["order", "conversion", "sale"], ["engagement"], ["click", "clk", "clks", "clicks"], ["impression"]]
 
 # Priorities of the global response.
-GLOBAL_RESPONSE = "revenue, sales, gmv, turnover > qty, quantity, unit, volume, sold > order, transaction > conversion, install, lead"
+GLOBAL_RESPONSE = [
+    ["revenue", "sales", "sales_value", "gmv", "turnover"],
+    ["qty", "quantity", "unit", "units", "volume", "sold"],
+    ["order", "orders", "transaction"],
+    ["conversion", "install", "lead"],
+]
 
 
 @dataclass(frozen=True)
@@ -130,20 +147,17 @@ class Priorities:
     default: tuple[str, ...]
 
 
-def keywords(text: str) -> tuple[str, ...]:
-    return tuple(w.strip() for group in text.split(">") for w in group.split(",") if w.strip())
+def keywords(groups: list[list[str]]) -> tuple[str, ...]:
+    return tuple(word for group in groups for word in group)
 
 
-def parse(table: str, default: str) -> Priorities:
-    lines = [line.split(":") for line in table.strip().splitlines()]
-    return Priorities(
-        tuple(key.strip() for key, _ in lines), tuple(keywords(rest) for _, rest in lines), keywords(default)
-    )
+def ranked(table: dict[str, list[list[str]]], default: list[list[str]]) -> Priorities:
+    return Priorities(tuple(table), tuple(map(keywords, table.values())), keywords(default))
 
 
 PRIORITIES = {
-    "exposure": parse(EXPOSURE, EXPOSURE_DEFAULT),
-    "response": parse(RESPONSE, RESPONSE_DEFAULT),
+    "exposure": ranked(EXPOSURE, EXPOSURE_DEFAULT),
+    "response": ranked(RESPONSE, RESPONSE_DEFAULT),
 }
 
 

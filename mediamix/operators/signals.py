@@ -230,9 +230,11 @@ def require_channels(catalog: DataFrame) -> DataFrame:
     return catalog
 
 
-def nested_registry(registry: DataFrame) -> DataFrame:
+def nested_registry(registry: DataFrame, catalog: DataFrame | None = None) -> DataFrame:
     """One row: global_response, global_controls and a map of channel to its candidates.
 
+    With ``catalog`` its channels without any candidate are kept, with empty lists.
+
     Per channel at most two exposures, four responses and two spends are collected, per
     registry one entry per channel and control.
     """
@@ -241,9 +243,12 @@ def nested_registry(registry: DataFrame) -> DataFrame:
         entries = F.collect_list(F.when(F.col("role") == role, F.struct("rank", "field_name")))
         return F.transform(F.array_sort(entries), lambda e: e["field_name"])
 
+    named = registry.select("channel", "role", "rank", "field_name", "tier").filter(F.col("channel").isNotNull())
+    if catalog is not None:
+        nothing = [F.lit(None).cast(named.schema[c].dataType).alias(c) for c in ("role", "rank", "field_name", "tier")]
+        named = named.unionByName(catalog.select("channel").filter(F.col("channel").isNotNull()).distinct().select("channel", *nothing))
     channels = (
-        registry.filter(F.col("channel").isNotNull())
-        .groupBy("channel")
+        named.groupBy("channel")
         .agg(
             F.struct(
                 ordered("exposure").alias("exposure"),

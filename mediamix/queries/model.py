@@ -264,6 +264,36 @@ CURVES_SQL = _on_media(
 _hill = "(POWER(mean_spend*2/100*({s})/(1-theta), alpha)/(POWER(mean_spend*2/100*({s})/(1-theta), alpha) + POWER(gamma*top, alpha)))"
 CURVES_SQL = CURVES_SQL.replace("h(step-1)", _hill.replace("{s}", "step-1")).replace("h(step)", _hill.replace("{s}", "step"))
 
+
+
+def _cluster_sql(body: str, rounds: int = 80) -> str:
+    """The same seeds, moves and choice of k in SQL; the moves as a recursion of fixed depth."""
+    names = ["roas", "roas_cv", "carryover_pct", "max_share_delta"]
+    scaled = ", ".join(f"COALESCE(({c} - AVG({c}) OVER w) / NULLIF(STDDEV_POP({c}) OVER w, 0), 0)" for c in names)
+    distance = " + ".join(f"(v[{i}] - c[{i}]) * (v[{i}] - c[{i}])" for i in range(1, 5))
+    dot = " + ".join(f"f.v[{i}] * m.c[{i}]" for i in range(1, 5))
+    means = ", ".join(f"AVG(v[{i}])" for i in range(1, 5))
+    square = " + ".join(f"v[{i}] * v[{i}]" for i in range(1, 5))
+    text = sql("SELECT 1", "measures", "fits").rstrip()
+    head = text[: text.rindex("SELECT 1")].rstrip()
+    return (
+        f"{head.replace('WITH ', 'WITH RECURSIVE ', 1)}, base AS (SELECT m.*, f.mape FROM (SELECT segment, sol_id, {', '.join(names)}, nrmse, decomp_rssd FROM measures) m JOIN (SELECT segment, sol_id, mape FROM fits) f USING (segment, sol_id)), "
+        f"vectors AS MATERIALIZED (SELECT segment, sol_id, nrmse, [{scaled}] AS v FROM base WINDOW w AS (PARTITION BY segment)), "
+        "ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY segment ORDER BY nrmse, sol_id) - 1 AS place, COUNT(*) OVER (PARTITION BY segment) AS n FROM vectors), "
+        f"wanted AS (SELECT segment, n, CASE WHEN r.k = {cluster.MIN_K} THEN LEAST(r.k, n) ELSE r.k END AS k FROM (SELECT DISTINCT segment, n FROM ranked), range({cluster.MIN_K}, {cluster.MAX_K + 1}) r(k) WHERE r.k = {cluster.MIN_K} OR r.k <= n), "
+        "seeds AS (SELECT w.segment, w.k, j AS cluster, v AS c FROM wanted w, range(10) r(j), ranked x WHERE j < w.k AND x.segment = w.segment AND x.place = CAST(FLOOR((j + 0.5) * w.n / w.k) AS BIGINT)), "
+        f"state AS (SELECT 0 AS round, segment, k, sol_id, ANY_VALUE(v) AS v, arg_min(cluster, {{'d': {distance}, 'i': cluster}}) AS cluster FROM seeds JOIN vectors USING (segment) GROUP BY segment, k, sol_id "
+        f"UNION ALL SELECT round + 1, segment, k, p.sol_id, ANY_VALUE(p.v), arg_min(cluster, {{'d': {distance}, 'i': cluster}}) FROM "
+        f"(SELECT round, segment, k, ROW_NUMBER() OVER (PARTITION BY segment, k ORDER BY state.cluster) - 1 AS cluster, [{means}] AS c FROM state WHERE round < {rounds} GROUP BY round, segment, k, state.cluster) m JOIN vectors p USING (segment) GROUP BY round, segment, k, p.sol_id), "
+        f"final AS MATERIALIZED (SELECT * FROM state WHERE round = {rounds}), "
+        f"middles AS (SELECT segment, k, cluster, COUNT(*) AS n, AVG({square}) AS sq, [{means}] AS c FROM final GROUP BY 1,2,3), "
+        f"apart AS (SELECT f.segment, f.k, f.sol_id, m.n, m.cluster = f.cluster AS own, GREATEST({square.replace('v[', 'f.v[')} + m.sq - 2 * ({dot}), 0) AS d FROM final f JOIN middles m ON m.segment = f.segment AND m.k = f.k), "
+        "sides AS (SELECT segment, k, sol_id, MAX(n) FILTER (own) AS n, MAX(d * n / NULLIF(n - 1, 0)) FILTER (own) AS inside, MIN(d) FILTER (NOT own) AS outside FROM apart GROUP BY 1,2,3), "
+        "silhouettes AS (SELECT segment, k, AVG(CASE WHEN n > 1 THEN COALESCE((outside - inside) / NULLIF(GREATEST(outside, inside), 0), 0) ELSE 0 END) AS silhouette FROM sides GROUP BY 1,2), "
+        "chosen AS (SELECT final.* FROM final JOIN (SELECT segment, arg_max(k, {'s': silhouette, 'k': -k}) AS k FROM silhouettes GROUP BY 1) USING (segment, k)) " + body
+    )
+
+
 Q, S = {}, {}
 
 Q["time_features"] = lambda s, d: rounded(features.time_features(segment_weeks(s, d).select("segment", "date", "sales_qty"), holidays(s, d)))
@@ -299,7 +329,17 @@ S["pareto_front_1"] = f"WITH p0 AS MATERIALIZED ({POINTS_SQL}) {_front_sql('p0')
 Q["pareto_fronts"] = lambda s, d: pareto.pareto_fronts(order_points(s, d))
 S["pareto_fronts"] = FRONTS_SQL
 Q["cluster_solutions"] = lambda s, d: clustered(s, d).select("segment", "sol_id", "k", "cluster")
-Q["cluster_top_solutions"] = lambda s, d: cluster.cluster_winners(clustered(s, d))
+S["cluster_solutions"] = _cluster_sql("SELECT segment, sol_id, k, CAST(cluster AS INTEGER) AS cluster FROM chosen")
+Q["cluster_top_solutions"] = lambda s, d: rounded(cluster.cluster_winners(clustered(s, d)), 6)
+S["cluster_top_solutions"] = rounded_sql(
+    _cluster_sql(
+        "SELECT segment, cluster, arg_min(sol_id, {'e': e, 's': sol_id}) AS sol_id, MIN(e) AS balanced_error, COUNT(*) AS cluster_size FROM (SELECT c.segment, CAST(cluster AS INTEGER) AS cluster, c.sol_id, SQRT("
+        + " + ".join(f"POWER(COALESCE(({m} - MIN({m}) OVER w) / NULLIF(MAX({m}) OVER w - MIN({m}) OVER w, 0), 0), 2)" for m in ("nrmse", "decomp_rssd", "mape"))
+        + ") AS e FROM chosen c JOIN base USING (segment, sol_id) WINDOW w AS (PARTITION BY c.segment)) GROUP BY 1,2"
+    ),
+    ["balanced_error"],
+    6,
+)
 Q["mm_fit"] = lambda s, d: rounded(exposure_fit.mm_fit(media(s, d)))
 S["mm_fit"] = rounded_sql(MM_SQL, ["mean_spend", "vmax", "km", "rsq_nls", "coef_lm", "rsq_lm"])
 Q["mm_use_flag"] = lambda s, d: exposure_fit.mm_use_flag(exposure_fit.mm_fit(media(s, d))).select("segment", "channel", "model_type", "use_mm")
@@ -333,7 +373,20 @@ Q["best_model"] = lambda s, d: rounded(score.best_models(score.model_scores(meas
 S["best_model"] = rounded_sql(sql("SELECT segment, sol_id, score FROM scores WHERE rank=1", "scores"), ["score"], 6)
 Q["response_curves"] = lambda s, d: rounded(budget.response_curves(curve_inputs(s, d)))
 S["response_curves"] = rounded_sql(CURVES_SQL, ["mean_spend", "spend", "response", "marginal"])
-Q["budget_scenarios"] = lambda s, d: budget.budget_scenarios(budget.response_curves(curve_inputs(s, d)))
+Q["budget_scenarios"] = lambda s, d: rounded(budget.budget_scenarios(budget.response_curves(curve_inputs(s, d))), 3)
+S["budget_scenarios"] = rounded_sql(
+    f"WITH curves AS ({CURVES_SQL}), "
+    "tops AS (SELECT segment, channel, step AS top_step, response AS top_response FROM curves QUALIFY ROW_NUMBER() OVER (PARTITION BY segment, channel ORDER BY CASE WHEN step>0 THEN response/step ELSE -1 END DESC, step DESC)=1), "
+    "steps AS (SELECT c.*, spend/step AS cost, CASE WHEN step<=top_step THEN COALESCE(top_response/NULLIF(top_step,0),0.0) ELSE marginal END AS gain FROM curves c JOIN tops USING (segment, channel) WHERE step>0), "
+    "goals AS (SELECT segment, SUM(now) AS budget, SUM(response_now) AS target FROM (SELECT segment, channel, mean_spend AS now, response AS response_now FROM curves QUALIFY ROW_NUMBER() OVER (PARTITION BY segment, channel ORDER BY ABS(spend-mean_spend))=1) GROUP BY 1), "
+    "bought AS (SELECT *, SUM(cost) OVER o AS spent, SUM(gain) OVER o AS reached FROM (SELECT *, ROUND(COALESCE(gain/NULLIF(cost,0),0.0),9) AS rate FROM steps) WINDOW o AS (PARTITION BY segment ORDER BY rate DESC, channel, step ROWS UNBOUNDED PRECEDING)), "
+    "taken AS (SELECT segment, channel, cost, gain, 'max_response' AS scenario, spent<=budget*(1+1e-9) AS taken, LEAST(GREATEST(1+COALESCE((budget-spent)/NULLIF(cost,0),0.0),0.0),1.0)*gain AS best FROM bought JOIN goals USING (segment) "
+    "UNION ALL SELECT segment, channel, cost, gain, 'min_spend', reached-gain<target*(1-1e-9), LEAST(GREATEST(1+COALESCE((target-reached)/NULLIF(gain,0),0.0),0.0),1.0)*cost FROM bought JOIN goals USING (segment)) "
+    "SELECT segment, scenario, channel, COUNT(*) FILTER (taken) AS steps, COUNT(*) FILTER (taken)=COUNT(*) AS at_limit, SUM(CASE WHEN taken THEN cost ELSE 0.0 END) AS spend, SUM(CASE WHEN taken THEN gain ELSE 0.0 END) AS response, "
+    "SUM(SUM(best)) OVER (PARTITION BY segment, scenario) AS bound FROM taken GROUP BY 1,2,3",
+    ["spend", "response", "bound"],
+    3,
+)
 Q["segment_selection"] = lambda s, d: selection(s, d).best
 Q["winner_weekly"] = lambda s, d: rounded(
     selection(s, d).params.select("segment", "sol_id", F.inline("weekly_decomp")).select("segment", "sol_id", "date", F.explode("values").alias("component", "value")), 3

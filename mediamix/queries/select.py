@@ -259,7 +259,14 @@ S["candidate_registry"] = (
 )
 Q["stage_registry"] = stage_registry
 S["stage_registry"] = S["candidate_registry"]
-Q["registry_document"] = lambda s, d: signals.nested_registry(registry(s, d)).select(F.to_json(F.struct("*")).alias("document"))
+Q["registry_document"] = lambda s, d: signals.nested_registry(registry(s, d), star.panel_catalog(s)).select(F.to_json(F.struct("*")).alias("document"))
+_listed = "to_json(COALESCE(list(field_name ORDER BY rank) FILTER (role = '{}'), []))"
+S["registry_document"] = (
+    f"WITH registry AS ({S['candidate_registry']}), channels AS (SELECT channel, '{{\"exposure\":' || {_listed.format('exposure')} || ',\"response\":' || {_listed.format('response')} || ',\"spend\":' || {_listed.format('spend')} "
+    "|| ',\"response_tier\":\"' || COALESCE(MAX(tier), 'none') || '\"}' AS body FROM registry WHERE channel IS NOT NULL GROUP BY 1) "
+    f"SELECT '{{\"global_response\":' || {_listed.format('global_response')} || ',\"global_controls\":' || {_listed.format('global_control')} || ',\"channels\":{{' "
+    "|| (SELECT string_agg('\"' || channel || '\":' || body, ',' ORDER BY channel) FROM channels) || '}}' AS document FROM registry"
+)
 Q["exposure_correlation"] = lambda s, d: rounded(correlations(s, d))
 S["exposure_correlation"] = rounded_sql(CORR_SQL, ["corr"])
 Q["best_exposure"] = lambda s, d: conform.best_exposures(correlations(s, d))
