@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from mediamix.catalog import NOT_A_METRIC, YES_NO, Catalog
@@ -98,6 +98,33 @@ def flag_violations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+class Observed:
+    """Counts of bad rows that are taken while a plan runs for another purpose.
+
+    ``rows`` passes ``df`` on; the counts are there once any action has read all of it, and
+    cost no pass of their own.
+    """
+
+    def __init__(self, df: DataFrame, conditions: Sequence[Column]):
+        self._observation = Observation() if conditions else None
+        counts = [F.count_if(c).alias(f"n{i}") for i, c in enumerate(conditions)]
+        self.rows = df.observe(self._observation, *counts) if conditions else df
+
+    def total(self, places: Sequence[int]) -> int:
+        """Bad rows under the conditions at these places."""
+        found = self._observation.get if places else {}
+        return sum(found[f"n{i}"] for i in places)
+
+
+def observe_raw(df: DataFrame, flags: Sequence[str], metrics: Sequence[str]) -> Observed:
+    """Flag texts that are no flags, then values of ``metrics`` below zero."""
+    return Observed(df, [*(flag_is_bad(F.col(c).cast("string")) for c in flags), *(F.col(m) < 0 for m in metrics)])
+
+
+def observe_nulls(df: DataFrame, columns: Sequence[str]) -> Observed:
+    return Observed(df, [F.col(c).isNull() for c in columns])
+
+
 def repeated_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(columns, n_rows) of what more than one row has."""
     return df.groupBy(*columns).agg(F.count("*").alias("n_rows")).filter("n_rows > 1")

@@ -56,9 +56,10 @@ def weekly_panel(raw: DataFrame, grain: Grain, plan: Catalog, options: Options =
 def preprocess(raw: DataFrame, catalog: DataFrame, grain: Grain, options: Options = Options()) -> Prepared:
     """Run the stage with its checks.
 
-    Metrics of the catalogue that the data lacks take no part. Checks are one aggregate
-    each; the weekly panel, which the null audit, the quality
-    statistics and the sinks read, is written once to the checkpoint folder.
+    Metrics of the catalogue that the data lacks take no part. Flags, signs and nulls are
+    counted while the weekly panel is computed and written once to the checkpoint folder, so
+    these checks read nothing of their own; a stage with bad rows fails after that, with the
+    report that names them. A grain that is stated unique is checked by a pass of its own.
     """
     parse_frequency(options.end)
     named = normalize_columns(raw)
@@ -67,14 +68,19 @@ def preprocess(raw: DataFrame, catalog: DataFrame, grain: Grain, options: Option
     if grain.unique:
         checks.raise_if_any(checks.repeated_rows(parse_dates(named, grain.date), grain.columns), "n_rows", "not unique on the grain")
     flags = checks.flag_columns(named, plan)
-    if flags:
-        checks.raise_if_any(checks.flag_violations(named, flags), "n_rows", "bad flag values")
     numeric = [m for m in checks.non_negative_metrics(plan) if m not in flags]
-    if numeric:
+    raw_rows = checks.observe_raw(named, flags, numeric)
+    weekly_rows = weekly_panel(raw_rows.rows, grain, plan, options)
+    values = [c for c in weekly_rows.columns if c not in grain.columns]
+    audited = checks.observe_nulls(weekly_rows, values)
+    weekly = cut_lineage(audited.rows)
+    # the reports that name what is wrong are only made where something is
+    if raw_rows.total(range(len(flags))):
+        checks.raise_if_any(checks.flag_violations(named, flags), "n_rows", "bad flag values")
+    if raw_rows.total(range(len(flags), len(flags) + len(numeric))):
         checks.raise_if_any(checks.negativity_report(named, numeric), "n_bad", "negative values")
-    weekly = cut_lineage(weekly_panel(named, grain, plan, options))
-    values = [c for c in weekly.columns if c not in grain.columns]
-    checks.raise_if_any(checks.null_audit(weekly, values), "n_null", "missing values after imputation")
+    if audited.total(range(len(values))):
+        checks.raise_if_any(checks.null_audit(weekly, values), "n_null", "missing values after imputation")
 
     ratios = funnel.funnel_ratios(catalog)
     planned = funnel.plan_ratios(catalog, weekly.columns)

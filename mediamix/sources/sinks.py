@@ -27,9 +27,9 @@ def write_catalog(catalog: DataFrame, path: str) -> None:
     catalog.orderBy("pos").write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_registry(registry: DataFrame, path: str) -> None:
-    """One JSON document: global response, global controls and channels."""
-    nested_registry(registry).write.mode("overwrite").json(path)
+def write_registry(registry: DataFrame, path: str, catalog: DataFrame | None = None) -> None:
+    """One JSON document: global response, global controls and channels, with ``catalog`` all of its channels."""
+    nested_registry(registry, catalog).write.mode("overwrite").json(path)
 
 
 def write_selections(best: DataFrame, path: str) -> None:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from mediamix.catalog import Catalog, Metric, catalog_frame, check_catalog, read_catalog, normalize_catalog
 from mediamix.functions.frequency import Frequency, parse_frequency, truncate
 from mediamix.grain import Grain
-from mediamix.operators import calendar, checks, conform, funnel, impute, outliers, priorities, quantiles, series
+from mediamix.operators import calendar, checks, conform, funnel, impute, outliers, priorities, quantiles, series, signals
 from mediamix.operators.aggregate import aggregate_panel, merge_metric_frames
 from mediamix.operators.rules import plan_catalog
 from mediamix.sources import readers, sinks
@@ -150,6 +150,16 @@ def test_quantiles_of_a_heavy_tail(spark):
     assert len(sizes) == quantiles.BUCKETS and max(sizes) < 2 * sorted(sizes)[len(sizes) // 2]
 
 
+def test_channels_without_candidates_stay_in_the_registry(spark):
+    registry = spark.createDataFrame([("exposure", "tv", 1, "tv_grp", None), ("global_response", None, 1, "sales", None)], "role string, channel string, rank int, field_name string, tier string")
+    catalog = spark.createDataFrame([("tv",), ("radio",), (None,)], "channel string")
+    found = signals.nested_registry(registry, catalog).first()
+    assert found["global_response"] == ["sales"] and set(found["channels"]) == {"tv", "radio"}
+    assert found["channels"]["tv"].exposure == ["tv_grp"]
+    assert found["channels"]["radio"].asDict() == {"exposure": [], "response": [], "spend": [], "response_tier": "none"}
+    assert set(signals.nested_registry(registry).first()["channels"]) == {"tv"}
+
+
 def test_flags(spark):
     df = spark.createDataFrame([(" Yes ",), ("n",), (None,), ("maybe",)], "f string")
     assert [v for (v,) in values(checks.normalize_flags(df, ["f"]), "f")] == [1, 0, 0, 0]

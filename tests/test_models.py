@@ -1,6 +1,7 @@
 """Search, fronts, clusters and budgets on small planted data."""
 
 import datetime as dt
+import itertools
 import math
 import random
 
@@ -132,6 +133,32 @@ def test_viability_falls_back(spark):
     assert viable == {("a", "2"), ("b", "1"), ("b", "2"), ("c", "1")}
 
 
+def test_budget_bound_holds_and_is_nearly_reached(spark):
+    rng = random.Random(6)
+    params = [(seg, ch, rng.uniform(5, 20), rng.uniform(20, 200), rng.choice([0.6, 1.0, 1.7, 3.0]), rng.uniform(2, 15), rng.uniform(0, 0.6)) for seg in "ab" for ch in ("tv", "web", "sms")]
+    df = spark.createDataFrame(params, "segment string, channel string, mean_spend double, coef double, alpha double, half double, theta double")
+    curves = budget.response_curves(df, steps=8)
+    envelopes, costs = {}, {}
+    for r in budget.concave_steps(curves).orderBy("step").collect():
+        envelopes.setdefault((r.segment, r.channel), []).append(r.gain if r.step else 0.0)
+        costs[(r.segment, r.channel)] = 2 * r.mean_spend / 8
+    rows = budget.budget_scenarios(curves).collect()
+    for segment in "ab":
+        own = [(costs[k], [sum(g[: n + 1]) for n in range(9)]) for k, g in envelopes.items() if k[0] == segment]
+        total = sum(4 * cost for cost, _ in own)
+        brute = max(
+            sum(g[n] for (_, g), n in zip(own, choice))
+            for choice in itertools.product(range(9), repeat=3)
+            if sum(c * n for (c, _), n in zip(own, choice)) <= total + 1e-9
+        )
+        mine = [r for r in rows if r.segment == segment and r.scenario == "max_response"]
+        response, (bound,) = sum(r.response for r in mine), {r.bound for r in mine}
+        largest = max(b - a for _, g in own for a, b in zip(g, g[1:]))
+        assert response <= brute + 1e-9 <= bound + 2e-9 and bound - response <= largest + 1e-9
+        mine = [r for r in rows if r.segment == segment and r.scenario == "min_spend"]
+        assert {r.bound for r in mine}.pop() <= sum(r.spend for r in mine) + 1e-9 <= {r.bound for r in mine}.pop() + max(c for c, _ in own) + 1e-6
+
+
 def test_budget_is_spent_where_it_gains_most(spark):
     params = [("s", "good", 10.0, 100.0, 1.0, 5.0, 0.0), ("s", "poor", 10.0, 10.0, 1.0, 5.0, 0.0), ("s", "shaped", 10.0, 60.0, 3.0, 8.0, 0.0)]
     df = spark.createDataFrame(params, "segment string, channel string, mean_spend double, coef double, alpha double, half double, theta double")

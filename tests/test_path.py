@@ -119,6 +119,38 @@ def test_unique_is_checked(spark):
     assert sorted(str(r.date) for r in filled.collect()) == ["2024-01-01", "2024-01-01", "2024-01-02", "2024-01-03"]
 
 
+def _small_raw(spark, change=lambda i, row: row):
+    rows = [change(i, ("a", "b", f"2024-01-{1 + i % 28:02d}", float(i % 7), float(i % 5), "Yes" if i % 2 else "no")) for i in range(28)]
+    df = spark.createDataFrame(rows, "region string, brand string, date string, sales_revenue double, tv_spend double, promo_offer_flag string")
+    columns = "pos long, field_name string, data_type string, data_category string, channel string, can_be_negative string"
+    fields = [("sales_revenue", "absolute", "sales", None), ("tv_spend", "absolute", "spend", "tv"), ("promo_offer_flag", "flag", "promo", None)]
+    return df, spark.createDataFrame([(n, *f, "no") for n, f in enumerate(fields)], columns)
+
+
+@pytest.mark.parametrize("unique, passes", [(True, 2), (False, 3)])
+def test_checks_cost_no_pass_over_the_raw_rows(spark, unique, passes):
+    """Unique: the grain check and the panel. Else: quantiles, fills by date, and the panel."""
+    read = spark.sparkContext.accumulator(0)
+    raw, catalog = _small_raw(spark)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    preprocess.preprocess(raw.mapInArrow(counted, raw.schema), catalog, GRAIN.as_unique() if unique else GRAIN)
+    assert read.value <= passes * raw.count()
+
+
+def test_observed_checks_still_name_what_is_bad(spark):
+    raw, catalog = _small_raw(spark, lambda i, r: (*r[:5], "perhaps") if i == 3 else r)
+    with pytest.raises(ValueError, match="bad flag values.*perhaps"):
+        preprocess.preprocess(raw, catalog, GRAIN)
+    raw, catalog = _small_raw(spark, lambda i, r: (*r[:4], -1.0, r[5]) if i == 3 else r)
+    with pytest.raises(ValueError, match="negative values.*tv_spend"):
+        preprocess.preprocess(raw, catalog, GRAIN)
+
+
 def test_merge_refuses_repeated_keys(spark):
     a = spark.createDataFrame([(1, 2.0), (1, 3.0)], "k int, a double")
     b = spark.createDataFrame([(1, 5.0)], "k int, b double")
