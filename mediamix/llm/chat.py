@@ -13,7 +13,7 @@ import re
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -176,6 +176,40 @@ def log_of_rows(rows: DataFrame) -> DataFrame:
     )
 
 
+#: Columns that put the events of ``history_of_rows`` in order.
+HISTORY_ORDER = ("seq", "role", "whole", "row", "part")
+
+
+def history_of_rows(rows: DataFrame) -> DataFrame:
+    """Event log that ends in a table with one row per turn, as a client would have streamed it.
+
+    By crc32(``conv_id:turn``) % 4 a turn is opened and completed by a delta (0), drafted and
+    edited (1), drafted, regenerated and streamed anew (2), or streamed after another message
+    was retracted (3). Rows of one turn follow each other by role and text, each with events
+    of its own, repeated rows too. Null roles and texts are empty.
+    """
+    text, role = whole_text(), F.coalesce("role", F.lit(""))
+    half = F.ceil(F.length(text) / 2).cast("int")
+    head, rest, draft = F.substring(text, F.lit(1), half), F.substring(text, half + 1, F.length(text)), F.reverse(F.substring(text, F.lit(1), half))
+    parts = {"role": role, "whole": text, "head": head, "rest": rest, "draft": draft}
+    key = F.crc32(F.concat_ws(":", "conv_id", "turn").cast("binary"))
+    named = rows.select("conv_id", F.col("turn").alias("seq"), F.monotonically_increasing_id().alias("row"), key.alias("hash"), *(c.alias(n) for n, c in parts.items()))
+
+    def event(kind: str, text: Column | str, other: int = 0) -> Column:
+        value = F.col(text) if isinstance(text, str) else text
+        return F.struct(F.lit(kind).alias("kind"), (F.col("row") * 2 + other).alias("message"), value.alias("text"))
+
+    nothing = F.lit("")
+    events = (
+        F.when(F.col("hash") % 4 == 0, F.array(event("message", "head"), event("delta", "rest")))
+        .when(F.col("hash") % 4 == 1, F.array(event("message", "draft"), event("edit", "whole")))
+        .when(F.col("hash") % 4 == 2, F.array(event("message", "draft"), event("regenerate", nothing), event("delta", "head"), event("delta", "rest")))
+        .otherwise(F.array(event("message", "draft", 1), event("retract", nothing, 1), event("delta", "head"), event("delta", "rest")))
+    )
+    each = named.select("conv_id", "seq", "role", "whole", "row", F.posexplode(events).alias("part", "event"))
+    return each.select("conv_id", "event.kind", "event.message", "role", "event.text", "seq", "whole", "row", "part")
+
+
 def probe(spark: SparkSession) -> DataFrame:
     """Conversation -1: two turns whose texts look like another template's control strings."""
     role = F.when(F.col("id") == 0, "user").otherwise("assistant")

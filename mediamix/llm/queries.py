@@ -35,8 +35,8 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = chat.log_of_rows(table(spark, sf_dir, "conversations")).unionByName(chat.log_of_rows(chat.probe(spark)))
-    return chat.digests(chat.format_log(log, order=("seq", "role", "text")))
+    log = chat.history_of_rows(table(spark, sf_dir, "conversations")).unionByName(chat.history_of_rows(chat.probe(spark)))
+    return chat.digests(chat.format_log(log, order=chat.HISTORY_ORDER))
 
 
 @query

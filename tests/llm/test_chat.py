@@ -74,3 +74,16 @@ def test_nulls_ties_long_and_columns(spark, monkeypatch):
     out = {r.conv_id: (r.n_turns, [len(t) for _, t in chat.parse(r.formatted)]) for r in chat.format_log(more).collect()}
     assert out == {None: (2, [0, 1]), 1: (2, [4, 4]), 2: (1, [2_000_000])}
     assert chat.format_log(log(spark, [])).count() == 0
+
+
+def test_history_has_every_kind_and_ends_in_the_rows(spark):
+    rows = [(c, t, "assistant" if t % 2 else "user", f"text {c} {t} é") for c in range(30) for t in range(4)]
+    rows += [(None, 0, None, None), (40, None, "user", "no turn"), (41, 1, "user", "same"), (41, 1, "user", "same"), (41, 1, "assistant", "a"), (42, 0, "user", "")]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").withColumn("whole", F.lit("x")).withColumn("row", F.lit(0))
+    history = chat.history_of_rows(df).repartition(7)
+    assert {r.kind for r in history.select("kind").distinct().collect()} == {"message", "delta", "edit", "regenerate", "retract"}
+    out = {r.conv_id: chat.parse(r.formatted) for r in chat.format_log(history, order=chat.HISTORY_ORDER).collect()}
+    by = {}
+    for c, t, role, text in rows:
+        by.setdefault(c, []).append((-1 if t is None else t, role or "", text or ""))
+    assert out == {c: [(r, x) for _, r, x in sorted(turns)] for c, turns in by.items()}
