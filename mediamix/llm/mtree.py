@@ -8,18 +8,20 @@ one M-tree: paged nodes whose entries store a covering radius and the distance t
 node's pivot. A query walks the pages best first. Stored distances and the triangle
 inequality rule out entries before their distance is computed, and pages by their radius.
 Scores are exact integers; bounds are floating point with a margin, so that they never
-rule out a tie.
+rule out a tie. Vectors too large for 64-bit products are scored apart.
 """
 
 from __future__ import annotations
 
 import heapq
+import operator
 import pickle
 from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import xxhash
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mediamix.llm.common import map_batches
@@ -122,22 +124,22 @@ class Tree:
         return best
 
 
-def integer_vectors(rows: DataFrame, key: str = "vec_id", vector: str = "embedding", scale: int = 256) -> DataFrame:
-    """(id, v): floor(``scale`` * x) of every component, of the vectors that take part.
+def whole_vectors(rows: DataFrame, key: str = "vec_id", vector: str = "embedding", scale: int = 256) -> DataFrame:
+    """(id, w, large): floor(``scale`` * x) of every component as doubles, of the vectors that take part.
 
-    Left out: null ids; vectors that are null, empty, or hold a null, non-finite or too
-    large component (``LARGEST`` after scaling); vectors of another length than the most
-    frequent one (the shorter, if tied). Rows that agree in id and vector count once.
+    Left out: null ids; vectors that are null, empty, or hold a null or non-finite
+    component; vectors of another length than the most frequent one (the shorter, if tied),
+    as they have no product with it. ``large`` marks those with a component of ``LARGEST``
+    or more after scaling. Rows that agree in id and vector count once.
     """
-    scaled = F.transform(F.col(vector).cast("array<double>"), lambda x: F.floor(x * scale))
-
-    def fits(x: Column) -> Column:
-        return x.isNotNull() & ~F.isnan(x) & (F.abs(x) * scale < LARGEST)
-
-    good = F.col(key).isNotNull() & (F.size(vector) > 0) & F.forall(F.col(vector).cast("array<double>"), fits)
-    whole = rows.where(F.coalesce(good, F.lit(False))).select(F.col(key).cast("bigint").alias("id"), scaled.cast("array<int>").alias("v"))
-    length = whole.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").limit(1).collect()
-    return whole.where(F.size("v") == (length[0]["n"] if length else 0)).distinct()
+    numbers = F.col(vector).cast("array<double>")
+    scaled = F.transform(numbers, lambda x: F.when(F.abs(x * scale) < 2.0**52, F.floor(x * scale).cast("double")).otherwise(x * scale))
+    finite = F.forall(numbers, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    good = F.col(key).isNotNull() & (F.size(vector) > 0) & finite
+    large = F.exists("w", lambda x: F.abs(x) >= LARGEST)
+    whole = rows.where(F.coalesce(good, F.lit(False))).select(F.col(key).cast("bigint").alias("id"), scaled.alias("w")).withColumn("large", large)
+    length = whole.groupBy(F.size("w").alias("n")).count().orderBy(F.desc("count"), "n").limit(1).collect()
+    return whole.where(F.size("w") == (length[0]["n"] if length else 0)).distinct()
 
 
 def build(vectors: DataFrame, sampled: np.ndarray, norm: float, n: int) -> DataFrame:
@@ -170,7 +172,7 @@ def build(vectors: DataFrame, sampled: np.ndarray, norm: float, n: int) -> DataF
 
 
 def top_k(rows: DataFrame, every: int, key: str = "vec_id", vector: str = "embedding", k: int = 5, scale: int = 256) -> DataFrame:
-    """The ``k`` rows of the highest integer inner product with each query; see ``integer_vectors``.
+    """The ``k`` rows of the highest integer inner product with each query; see ``whole_vectors``.
 
     Queries are the rows whose id is divisible by ``every``. Candidates are all rows that take part,
     but those of the query's id. Returns ``query_id``, ``rank`` (from 1), the found ``key``
@@ -180,18 +182,23 @@ def top_k(rows: DataFrame, every: int, key: str = "vec_id", vector: str = "embed
 
     Queries go in blocks of bounded size, each sent to all slices; a seed bound from the
     sampled rows prunes from the first page on. Results of a block are at most k rows for
-    each query and slice.
+    each query and slice. Vectors with a component too large for exact 64-bit products are
+    few, if any; pairs with one of them are scored in Python's integers instead of the trees,
+    and a score of the result that 64 bits cannot hold is an error.
     """
-    vectors = cut_lineage(integer_vectors(rows, key, vector, scale))
+    every_vector = cut_lineage(whole_vectors(rows, key, vector, scale))
+    vectors = cut_lineage(every_vector.where("NOT large").select("id", F.col("w").cast("array<int>").alias("v")))
     measured = F.aggregate("v", F.lit(0).cast("bigint"), lambda s, x: s + x.cast("bigint") * x)
     n, largest = vectors.agg(F.count("*"), F.max(measured)).collect()[0]
     norm = float(np.sqrt(largest or 0))
     taken = [(r.id, r.v) for r in vectors.orderBy(F.xxhash64("id"), "id", "v").limit(SAMPLE).collect()]
     empty = rows.sparkSession.createDataFrame([], f"query_id bigint, rank int, {key} bigint, score bigint")
-    if not n:
+    large = every_vector.where("large")
+    beyond = [] if large.isEmpty() else _scored_apart(every_vector, every, k)
+    if not n and not beyond:
         return empty
     seed_ids, seeds = np.array([i for i, _ in taken], np.int64), np.array([v for _, v in taken], np.int64)
-    trees = build(vectors, seeds, norm, n)
+    trees = build(vectors, seeds, norm, n) if n else None
     asked = vectors.where(F.col("id") % every == 0)
     blocks = -(-asked.count() // BLOCK)
     asked = asked.withColumn("block", F.pmod(F.xxhash64("id", "v"), F.lit(max(1, blocks))))
@@ -204,7 +211,8 @@ def top_k(rows: DataFrame, every: int, key: str = "vec_id", vector: str = "embed
             scores = (seeds @ q)[seed_ids != own]
             least.append(int(np.partition(scores, -k)[-k]) if len(scores) >= k else None)
         results.append(cut_lineage(_search(trees, block, ids, wanted, least, k)))
-    release(vectors)
+    results += beyond
+    release(vectors, every_vector)
     if not results:
         return empty
     found = results[0]
@@ -214,17 +222,63 @@ def top_k(rows: DataFrame, every: int, key: str = "vec_id", vector: str = "embed
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", F.col("id").alias(key), "score")
 
 
+def label_of(vector: np.ndarray) -> str:
+    """Tells apart the vectors of queries of one id."""
+    return xxhash.xxh3_128_hexdigest(np.asarray(vector, np.float64).tobytes())
+
+
+def _scored_apart(vectors: DataFrame, every: int, k: int) -> list[DataFrame]:
+    """The k best of every pair that has a large vector, for each query and batch of rows.
+
+    Blocks of large queries meet all rows, and blocks of large candidates the other queries.
+    """
+    large = vectors.where("large").withColumn("block", F.xxhash64("id", "w"))
+    is_query = F.col("id") % every == 0
+    out = []
+    for fixed, rows, queries in ((large.where(is_query), vectors, True), (large, vectors.where(is_query & ~F.col("large")), False)):
+        blocks = -(-fixed.count() // BLOCK)
+        for block in range(blocks):
+            some = fixed.where(F.pmod("block", F.lit(blocks)) == block).select("id", "w").collect()
+            out.append(cut_lineage(_exact(rows, [(r.id, r.w) for r in some], queries, k)))
+    return out
+
+
+def _exact(rows: DataFrame, fixed: list[tuple[int, list[float]]], queries: bool, k: int) -> DataFrame:
+    """(query_id, query, id, score) of ``fixed`` vectors, which are ``queries`` or candidates, and the rows."""
+
+    def make() -> Callable[[dict], dict]:
+        own = [(i, [int(x) for x in w], label_of(w)) for i, w in fixed]
+
+        def run(columns: dict) -> dict:
+            met = [(i, [int(x) for x in w], label_of(w)) for i, w in zip(columns["id"], columns["w"])]
+            out: dict = {"query_id": [], "query": [], "id": [], "score": []}
+            for query_id, query, label in own if queries else met:
+                scores = sorted((-sum(map(operator.mul, query, v)), i) for i, v, _ in (met if queries else own) if i != query_id)[:k]
+                for score, found in scores:
+                    if not -(2**63) < score < 2**63:
+                        raise ValueError(f"the product of {query_id} and {found} exceeds 64 bits")
+                    for name, value in zip(out, (query_id, f"{query_id}/{label}", found, -score)):
+                        out[name].append(value)
+            return out
+
+        return run
+
+    return map_batches(rows.select("id", "w"), make, "query_id bigint, query string, id bigint, score bigint")
+
+
 def _search(trees: DataFrame, block: int, ids: list[int], wanted: np.ndarray, least: list, k: int) -> DataFrame:
     """(query_id, query, id, score) of one block of queries in every slice."""
 
     def make() -> Callable[[dict], dict]:
+        labels = [label_of(v) for v in wanted]
+
         def run(columns: dict) -> dict:
             out: dict = {"query_id": [], "query": [], "id": [], "score": []}
             for data in columns["tree"]:
                 tree = pickle.loads(data)
                 for n, own in enumerate(ids):
                     for score, found in tree.search(wanted[n], own, k, least[n]):
-                        for name, value in zip(out, (own, f"{block}/{n}", found, score)):
+                        for name, value in zip(out, (own, f"{own}/{labels[n]}", found, score)):
                             out[name].append(value)
             return out
 

@@ -43,11 +43,28 @@ def test_few_rows(spark, n):
 
 
 def test_vectors_that_take_no_part(spark):
-    rows = [(0, [1.0, 2.0]), (1, None), (2, [None, 1.0]), (3, [float("nan"), 1.0]), (4, [float("inf"), 1.0]), (5, []), (None, [1.0, 1.0]), (6, [-1.0, 3.0]), (7, [1e30, 0.0]), (8, [1.0, 2.0, 3.0]), (0, [1.0, 2.0])]
+    rows = [(0, [1.0, 2.0]), (1, None), (2, [None, 1.0]), (3, [float("nan"), 1.0]), (4, [float("inf"), 1.0]), (5, []), (None, [1.0, 1.0]), (6, [-1.0, 3.0]), (8, [1.0, 2.0, 3.0]), (0, [1.0, 2.0])]
     assert ours(spark, rows, 50) == {(0, 1, 6, 65536 * 5)}
     assert ours(spark, [], 50) == set() and ours(spark, [(1, [1.0])], 50) == set()
 
 
+@pytest.mark.parametrize("all_large", [False, True])
+def test_large_components_are_scored_exactly(spark, monkeypatch, all_large):
+    monkeypatch.setattr(mtree, "BLOCK", 7)
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(150):
+        scale = 1e6 if all_large or i % 9 == 0 else 1.0
+        rows.append((i, (rng.normal(0, 1, 3) * scale).tolist()))
+    rows += [(10, [1e6, -1e6, 3e5]), (10, [1e6, -1e6, 3e5]), (20, [0.5, 1e6, 262144.0])]
+    assert ours(spark, rows, 10) == brute(rows, 10)
+
+
+def test_scores_beyond_64_bits_are_an_error(spark):
+    with pytest.raises(Exception, match="exceeds 64 bits"):
+        ours(spark, [(0, [1e30, 1.0]), (1, [1e30, 1.0]), (2, [0.0, 1.0])], 50)
+
+
 def test_extra_columns(spark):
     df = spark.createDataFrame([(0, [1.0], 1), (1, [2.0], 1)], SCHEMA).withColumn("id", F.lit("x")).withColumn("v", F.lit(1)).withColumn("score", F.lit(2))
     assert [tuple(r) for r in mtree.top_k(df, 50).collect()] == [(0, 1, 1, 131072)]
