@@ -58,15 +58,17 @@ def remember(operator: str, forget: Callable[[], None]) -> None:
 
 
 def turn_to(operator: str) -> None:
-    """Free what other operators have left in a worker that Spark uses again."""
-    others = [name for name in _REMEMBERED if name != operator]
-    for name in others:
+    """Free what earlier tasks of other operators have left in a worker that Spark uses again.
+
+    Memory that is free within the process goes back to the machine, so that the largest
+    tasks of two workers don't add up for the rest of the job.
+    """
+    for name in [name for name in _REMEMBERED if name != operator]:
         _REMEMBERED.pop(name)()
-    if others:
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-        if trim:
-            trim(0)
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def _row_bytes(column: pa.Array):
