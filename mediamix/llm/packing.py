@@ -33,9 +33,9 @@ NEARLY = 8
 NO_HELP = 0.95
 #: Bytes of stretches and ids that a worker remembers in each of two generations, and about
 #: what an entry takes besides its own.
-REMEMBERED, ENTRY = 64 << 20, 200
+REMEMBERED, ENTRY = 120 << 20, 200
 #: Characters that are split at a time, and new stretches that are encoded at a time.
-CHARACTERS, TOGETHER = 1 << 20, 512
+CHARACTERS, TOGETHER = 1 << 20, 128
 
 
 class Encoder:
@@ -80,7 +80,7 @@ class Encoder:
         plain = list(missing.difference(odd))
         for start in range(0, len(plain), TOGETHER):
             some = plain[start : start + TOGETHER]
-            ids = np.array(self.library.encode(self.mark.join(some), add_special_tokens=False).ids, "<u4")
+            ids = np.array(self.library.encode_batch_fast([self.mark.join(some)], add_special_tokens=False)[0].ids, "<u4")  # no offsets
             ends = np.flatnonzero(ids == self.mark_id)
             data = ids.tobytes()
             for part, a, b in zip(some, [0, *(4 * (ends + 1)).tolist()], [*(4 * ends).tolist(), len(data)]):
