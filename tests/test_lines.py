@@ -79,3 +79,9 @@ def test_line_items_are_read_once(spark, name):
 def test_panel_of_the_search_reads_line_items_once(spark):
     plan = model.spoilt_panel(spark, DATA)[0]._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("l_linestatus#") == 1
+
+
+@pytest.mark.parametrize("name", ["response_tiers", "catalog_extend", "funnel_pairs", "resolve_weights"])
+def test_supplier_catalogue_is_read_as_written(spark, name):
+    plan = QUERIES[name](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_linestatus#" not in plan
