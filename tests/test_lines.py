@@ -85,3 +85,61 @@ def test_panel_of_the_search_reads_line_items_once(spark):
 def test_supplier_catalogue_is_read_as_written(spark, name):
     plan = QUERIES[name](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
     assert "l_linestatus#" not in plan
+
+
+@pytest.mark.parametrize("name", ["score_shares", "score_roas", "score_baseline", "fit_metrics"])
+def test_line_items_meet_orders_and_parts_in_lookups(spark, name):
+    plan = QUERIES[name](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
+    # written lookups, broadcast whatever the planner makes of the tables' size
+    assert "l_orderkey#" in plan and "o_orderkey#" not in plan and "p_partkey#" not in plan
+    assert plan.count("rightHint=(strategy=broadcast)") >= 2
+
+
+def test_points_of_orders_meet_orders_and_parts_in_lookups(spark):
+    plan = model.order_points(spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_orderkey#" in plan and "o_orderkey#" not in plan and "p_partkey#" not in plan
+
+
+def solutions(spark, d):
+    """Channels of the solutions, and the same from a plain join."""
+    ours = star.solution_channels(spark, d).select("sol_id", "channel", "effect", "spend", "mean_carryover")
+    lines = star.table(spark, d, "lineitem").join(star.table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    lines = lines.join(star.table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    keys = F.concat(F.lit("s"), (F.col("l_orderkey") % 20).cast("string")).alias("sol_id"), F.col("o_orderpriority").alias("channel")
+    plain = lines.groupBy(*keys).agg(F.sum("l_extendedprice"), F.sum("l_quantity"), F.avg("l_linenumber"))
+    return [sorted((tuple(r) for r in df.collect()), key=str) for df in (ours, plain)]
+
+
+ODD = [(500, "6-NEVER"), (7, None), (501, "unseen"), (None, "1-URGENT")]
+
+
+@pytest.mark.parametrize(
+    ("more", "looked_up"),
+    [(ODD, True), ([*ODD, (502, "an eighth"), (503, "")], False), ([*ODD, (16, "5-LOW"), (500, None)], False)],
+    ids=["other priorities", "more priorities than numbers", "repeated orders"],
+)
+@pytest.mark.parametrize("parts", [[1], [1, 1], [2], []], ids=["one", "twice", "missing", "none"])
+def test_solutions_of_odd_orders_and_parts(spark, odd, tmp_path, more, looked_up, parts):
+    d, write_orders, known = odd
+    write_orders([*known, *more])
+    spark.createDataFrame([(k, "p", "b", "TIN", 1, 9.0) for k in parts], star.SCHEMAS["part"]).write.mode("overwrite").parquet(str(tmp_path / "part.parquet"))
+    ours, plain = solutions(spark, d)
+    assert ours == plain and bool(ours) == (1 in parts)
+    plan = star.solution_channels(spark, d)._jdf.queryExecution().optimizedPlan().toString()
+    assert ("o_orderkey#" not in plan) == looked_up
+    assert ("p_partkey#" not in plan) == (len(parts) < 2)
+
+
+def test_solutions_without_orders(spark, odd):
+    d, write_orders, _ = odd
+    write_orders([])
+    assert solutions(spark, d) == [[], []]
+
+
+def test_solutions_of_tables_too_large_are_joined(spark, monkeypatch):
+    expected = sorted(map(str, star.solution_channels(spark, DATA).collect()))
+    monkeypatch.setattr(star, "BROADCAST_BYTES", 0)
+    large = star.solution_channels(spark, DATA)
+    plan = large._jdf.queryExecution().optimizedPlan().toString()
+    assert "o_orderkey#" in plan and "p_partkey#" in plan
+    assert sorted(map(str, large.collect())) == expected
