@@ -143,3 +143,27 @@ def test_solutions_of_tables_too_large_are_joined(spark, monkeypatch):
     plan = large._jdf.queryExecution().optimizedPlan().toString()
     assert "o_orderkey#" in plan and "p_partkey#" in plan
     assert sorted(map(str, large.collect())) == expected
+
+
+def test_panel_of_many_parts_looks_them_up(spark, monkeypatch):
+    expected = star.panel_daily(spark, DATA)
+    rows = sorted(map(str, expected.collect()))
+    monkeypatch.setattr(star, "PART_ROW", star.BROADCAST_BYTES)
+    panel = star.panel_daily(spark, DATA)
+    assert "p_partkey#" not in panel._jdf.queryExecution().optimizedPlan().toString()
+    assert panel.dtypes == expected.dtypes and sorted(map(str, panel.collect())) == rows
+
+
+@pytest.mark.parametrize("parts", [[(1, "TIN", 9.0), (130, None, 5.0)], [(1, None, None), (-7, "X", 1.0), (None, "X", 2.0)], [(1, "TIN", 9.0), (1, "X", 8.0)], [(1 + i, f"t{i}", 1.0 * i) for i in range(9)], [(2, "TIN", 1.0)]])
+def test_odd_parts_of_the_panel(spark, odd, tmp_path, monkeypatch, parts):
+    d, _, _ = odd
+    spark.createDataFrame([(k, "p", "b", t, 1, v) for k, t, v in parts], star.SCHEMAS["part"]).write.mode("overwrite").parquet(str(tmp_path / "part.parquet"))
+
+    def found():
+        lines = star.with_parts(spark, d, star.table(spark, d, "lineitem").select("l_partkey"))
+        return sorted((tuple(r) for r in lines.select("p_type", "p_retailprice").collect()), key=str)
+
+    expected = sorted([(t, v) for k, t, v in parts if k == 1] * 13, key=str)
+    assert found() == expected
+    monkeypatch.setattr(star, "PART_ROW", star.BROADCAST_BYTES)
+    assert found() == expected
